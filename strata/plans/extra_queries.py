@@ -1,11 +1,508 @@
-"""Operator-level queries (ingest, keys, incremental loads, quality checks)."""
+"""Operator-level queries (ingest, row ids, incremental loads, quality checks).
+
+Each entry runs one or a few library operators over whole driver tables (or
+over models derived from them) and has an oracle in DuckDB SQL.
+"""
 
 from __future__ import annotations
 
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import quality as Q
+from ..operators.incremental import incremental_slice, sync_columns, upsert
+from ..sources.bronze import card_number, rekey_tenant, scrub_null_text, split_name, tag_union, with_sales_amounts
+from ..sources.landing import with_row_id
+from . import driver_tables as D
+from . import oracle_sql as O
+from .silver import build_silver_staff, build_silver_transactions
+from .warehouse import Warehouse, decimals_to_double, reconciliation, run_gold_suite, gold_suite, GOLD_MODELS
+
+# Fixed parameters of the two-batch incremental load: rows ingested up to the
+# cutoff form the first load, the rest arrive in the second run.
+BATCH_CUTOFF = "1998-06-30 00:00:00"
+
+
+# ---------------------------------------------------------------- ingest / bronze
+
+def bronze_products_two_tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + R2 + R1: tenant SF as landed, tenant AQ re-keyed from it, tagged union,
+    then null-like text scrubbed."""
+    sf = D.landing(spark, sf_dir, "raw_products").drop("source_region")
+    aq = rekey_tenant(sf, "SKU-", "AQ-SKU-", {"batch_id": "BATCH-AQ"})
+    return scrub_null_text(tag_union({"SF": sf, "AQ": aq}, tag_col="source_region"))
+
+
+def _bronze_products_sql() -> str:
+    cols = [c for c in D.landing_columns("raw_products") if c != "source_region"]
+    strings = {"product_code", "description", "category", "ingestion_date", "batch_id",
+               "pipeline_name", "validation_status", "is_duplicate"}
+
+    def scrub(x):
+        return f"CASE WHEN {x} IN ('None', 'nan', 'NaN') OR lower({x}) = 'null' THEN NULL ELSE {x} END"
+
+    def rekey(c):
+        if c == "batch_id":
+            return "'BATCH-AQ'"
+        if c in strings:
+            r = f"replace({c}, 'SKU-', 'AQ-SKU-')"
+            return f"CASE WHEN {r} IN ('None', 'nan', 'NaN') THEN NULL ELSE {r} END"
+        return c
+
+    land = D.landing_sql("raw_products")
+    sf = ", ".join((f"{scrub(c)} AS {c}" if c in strings else c) for c in cols)
+    aq = ", ".join((f"{scrub(rekey(c))} AS {c}" if c in strings else c) for c in cols)
+    return (f"SELECT {sf}, 'SF' AS source_region FROM ({land}) UNION ALL "
+            f"SELECT {aq}, 'AQ' AS source_region FROM ({land})")
+
+
+def parties_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 over two different sources of one shape: customers and suppliers."""
+    c = D.read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("party_key"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nation_key"), F.col("c_acctbal").alias("balance"))
+    s = D.read(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("party_key"), F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nation_key"), F.col("s_acctbal").alias("balance"))
+    return tag_union({"CUSTOMER": c, "SUPPLIER": s}, tag_col="party_type")
+
+
+PARTIES_SQL = """
+SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nation_key, c_acctbal AS balance,
+  'CUSTOMER' AS party_type FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 'SUPPLIER' FROM supplier"""
+
+
+LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                  "l_shipdate"]
+
+
+def landing_row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9: consecutive ``bronze_id`` 1..n over the whole line table."""
+    return with_row_id(D.read(spark, sf_dir, "lineitem"), LINEITEM_ORDER)
+
+
+ROW_IDS_SQL = (f"SELECT row_number() OVER (ORDER BY {', '.join(LINEITEM_ORDER)}) AS bronze_id, * "
+               f"FROM lineitem")
+
+
+def sales_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3: gross / net / VAT / total from unit price, quantity and discount."""
+    li = D.read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        F.col("l_quantity").cast("long").alias("quantity"),
+        F.round(F.col("l_extendedprice") * F.col("l_discount"), 2).alias("discount_amount"))
+    return with_sales_amounts(li)
+
+
+def _round2(x: str) -> str:
+    """Spark's ROUND(double, 2): half-up on the shortest decimal text of the double."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 15)), 2) AS DOUBLE)"
+
+
+SALES_SQL = f"""
+SELECT l_orderkey, l_linenumber, unit_price, quantity, discount_amount, gross_amount,
+  gross_amount - discount_amount AS net_amount,
+  {_round2('(gross_amount - discount_amount) * 0.15')} AS vat_amount,
+  (gross_amount - discount_amount) + {_round2('(gross_amount - discount_amount) * 0.15')}
+    AS total_charged
+FROM (
+  SELECT l_orderkey, l_linenumber, l_extendedprice / l_quantity AS unit_price,
+    CAST(l_quantity AS BIGINT) AS quantity,
+    {_round2('l_extendedprice * l_discount')} AS discount_amount,
+    {_round2('CAST(l_quantity AS BIGINT) * (l_extendedprice / l_quantity)')} AS gross_amount
+  FROM lineitem
+)"""
+
+
+def customer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 / X23 / X24: split a full name, derive a card number from the id."""
+    c = D.read(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.concat(F.lower("c_mktsegment"), F.lit(" "), F.lower("c_name"), F.lit(" jr")).alias("full_name"),
+        F.concat(F.lit("CUST-"), F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("customer_id"))
+    return split_name(c).withColumn("loyalty_card_number", card_number(F.col("customer_id")))
+
+
+NAMES_SQL = """
+SELECT c_custkey, full_name, customer_id,
+  split_part(full_name, ' ', 1) AS first_name,
+  CASE WHEN strpos(full_name, ' ') > 0 THEN substr(full_name, strpos(full_name, ' ') + 1) END
+    AS last_name,
+  replace(customer_id, 'CUST', 'LC') AS loyalty_card_number
+FROM (
+  SELECT c_custkey, lower(c_mktsegment) || ' ' || lower(c_name) || ' jr' AS full_name,
+    'CUST-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS customer_id
+  FROM customer
+)"""
+
+
+# ------------------------------------------------------------- incremental loads
+
+def upsert_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + S5: first load up to the cutoff, then an incremental run that slices
+    the bronze table above the stored high watermark and merges on the key
+    (a batch that repeats a key keeps its latest row)."""
+    bronze = D.landing(spark, sf_dir, "raw_transactions")
+    order = [F.col("ingestion_timestamp").desc_nulls_last()]
+    first = build_silver_transactions(
+        bronze.filter(F.col("ingestion_timestamp") <= F.lit(BATCH_CUTOFF).cast("timestamp")),
+        as_of=D.AS_OF)
+    stored = upsert(None, first, ["transaction_sk"], collapse_order=order)
+    batch = build_silver_transactions(bronze, as_of=D.AS_OF, target=stored)
+    return upsert(stored, batch, ["transaction_sk"], collapse_order=order)
+
+
+def _silver_cols(fn) -> list[str]:
+    import re
+    sql = fn()
+    head = sql[sql.index("SELECT") + 6: sql.index("FROM (")]
+    cols = []
+    for part in _split_top(head):
+        m = re.search(r"(?:AS\s+)?([A-Za-z_][A-Za-z0-9_]*)\s*$", part.strip())
+        cols.append(m.group(1))
+    return cols
+
+
+def _split_top(s: str) -> list[str]:
+    out, depth, cur = [], 0, ""
+    for ch in s:
+        if ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        if ch == "," and depth == 0:
+            out.append(cur)
+            cur = ""
+        else:
+            cur += ch
+    if cur.strip():
+        out.append(cur)
+    return out
+
+
+def _upsert_sql() -> str:
+    cols = _silver_cols(O.silver_transactions)
+    rest = [c for c in cols if c != "transaction_sk"]
+    tb = ", ".join(f"{c} ASC NULLS FIRST" for c in rest)
+    collapse = (f"QUALIFY row_number() OVER (PARTITION BY transaction_sk ORDER BY "
+                f"ingestion_timestamp DESC NULLS LAST, {tb}) = 1")
+    cut = f"TIMESTAMP '{BATCH_CUTOFF}'"
+    s1 = O.silver_transactions(where=f"ingestion_timestamp <= {cut}")
+    s2 = O.silver_transactions(
+        where="ingestion_timestamp > (SELECT coalesce(max(ingestion_timestamp), "
+              "TIMESTAMP '1970-01-01 00:00:00') FROM first_load)")
+    return f"""
+WITH first_load AS (SELECT * FROM ({s1}) {collapse}),
+second_batch AS (SELECT * FROM ({s2}) {collapse})
+SELECT * FROM first_load f WHERE NOT EXISTS (
+  SELECT 1 FROM second_batch b WHERE b.transaction_sk = f.transaction_sk)
+UNION ALL SELECT * FROM second_batch"""
+
+
+def watermark_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 alone: bronze gate events newer than what a stored load holds."""
+    bronze = D.landing(spark, sf_dir, "raw_gate_events")
+    stored = bronze.filter(F.col("ingestion_timestamp") < F.lit("2024-01-20").cast("timestamp"))
+    return incremental_slice(bronze, "ingestion_timestamp", stored, "ingestion_timestamp")
+
+
+def _watermark_sql() -> str:
+    land = D.landing_sql("raw_gate_events")
+    return (f"WITH b AS ({land}) SELECT * FROM b WHERE ingestion_timestamp > "
+            f"(SELECT coalesce(max(ingestion_timestamp), TIMESTAMP '1970-01-01') FROM b "
+            f"WHERE ingestion_timestamp < TIMESTAMP '2024-01-20')")
+
+
+def schema_sync_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + S4: the stored table has an older shape (an extra ``legacy_code``,
+    no ``staff_status``); the new batch (re-activated staff) is merged after
+    syncing the stored rows to the new schema."""
+    new = build_silver_staff(D.landing(spark, sf_dir, "raw_staff"), as_of=D.AS_OF)
+    stored = new.drop("staff_status").withColumn("legacy_code", F.lit("L1"))
+    batch = new.filter(F.col("is_active") == F.lit(True))
+    return upsert(sync_columns(stored, new.schema), batch, ["staff_sk"])
+
+
+def _schema_sync_sql() -> str:
+    s = O.silver_staff()
+    cols = _silver_cols(O.silver_staff)
+    old = ", ".join("CAST(NULL AS VARCHAR) AS staff_status" if c == "staff_status" else c
+                    for c in cols)
+    return f"""
+WITH new AS ({s}), batch AS (SELECT * FROM new WHERE is_active = TRUE)
+SELECT {old} FROM new n WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.staff_sk = n.staff_sk)
+UNION ALL SELECT * FROM batch"""
+
+
+# ---------------------------------------------------------------- quality checks
+
+def dq_gold_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q9 + Q11: the declared gold tests, folded per table."""
+    return run_gold_suite(Warehouse(spark, sf_dir))
+
+
+def _suite_sql() -> str:
+    lo, hi = (int(x.replace("-", "")) for x in D.CALENDAR)
+    suite = gold_suite(lo, hi)
+    parts = []
+    for model, checks in suite.items():
+        t = f"({O.GOLD[model]()})"
+        for c in checks:
+            x = c.column
+            if c.kind == "not_null":
+                q = f"SELECT count(*) FROM {t} WHERE {x} IS NULL"
+            elif c.kind == "accepted_values":
+                vals = ", ".join(str(v).upper() if isinstance(v, bool) else
+                                 (f"'{v}'" if isinstance(v, str) else str(v)) for v in c.values)
+                q = f"SELECT count(*) FROM {t} WHERE {x} NOT IN ({vals})"
+            elif c.kind == "accepted_range":
+                cond = []
+                if c.min_value is not None:
+                    cond.append(f"{x} >= {c.min_value}")
+                if c.max_value is not None:
+                    cond.append(f"{x} <= {c.max_value}")
+                q = f"SELECT count(*) FROM {t} WHERE NOT ({' AND '.join(cond)})"
+            elif c.kind == "expression_is_true":
+                e = re.sub(r"(\w+) RLIKE ('[^']*')", r"regexp_matches(\1, \2)", c.expression)
+                q = f"SELECT count(*) FROM {t} WHERE NOT ({e})"
+            elif c.kind == "at_least_one":
+                q = f"SELECT CASE WHEN count({x}) = 0 THEN 1 ELSE 0 END FROM {t}"
+            elif c.kind == "row_count":
+                q = f"SELECT CASE WHEN count(*) <> {c.expected} THEN 1 ELSE 0 END FROM {t}"
+            elif c.kind == "unique":
+                q = (f"SELECT count(*) FROM (SELECT {x} FROM {t} WHERE {x} IS NOT NULL "
+                     f"GROUP BY {x} HAVING count(*) > 1)")
+            elif c.kind == "unique_combination":
+                cs = ", ".join(c.columns)
+                q = f"SELECT count(*) FROM (SELECT {cs} FROM {t} GROUP BY {cs} HAVING count(*) > 1)"
+            elif c.kind == "relationships":
+                p = f"({O.GOLD[c.parent]()})"
+                q = (f"SELECT count(*) FROM {t} ch WHERE ch.{x} IS NOT NULL AND NOT EXISTS "
+                     f"(SELECT 1 FROM {p} pa WHERE pa.{c.parent_column} = ch.{x})")
+            else:
+                raise ValueError(c.kind)
+            label = c.label().replace("'", "''")
+            parts.append(f"SELECT '{model}' AS model, '{label}' AS test, CAST(({q}) AS BIGINT) "
+                         f"AS failures, '{c.severity}' AS severity")
+    body = "\nUNION ALL ".join(parts)
+    return (f"SELECT model, test, failures, severity, CASE WHEN failures = 0 THEN 'PASS' "
+            f"WHEN severity = 'warn' THEN 'WARN' ELSE 'FAIL' END AS status FROM ({body})")
+
+
+def dq_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q10: gold vs silver counts with retention % and the 95 % floor (all rows)."""
+    return reconciliation(Warehouse(spark, sf_dir), failing_only=False)
+
+
+def _recon_sql() -> str:
+    pairs = [
+        ("fact_transaction", "fact_transaction", "silver_transactions", "transaction_date IS NOT NULL"),
+        ("fact_gate_event", "fact_gate_event", "silver_gate_events", "event_date IS NOT NULL"),
+        ("fact_ride_operations", "fact_ride_operations", "silver_ride_opeartions", "poll_date IS NOT NULL"),
+        ("fact_customer_feedback", "fact_customer_feedback", "silver_feedback", "TRUE"),
+        ("fact_weather_observation", "fact_weather_observation", "silver_weather",
+         "weather_date IS NOT NULL AND weather_code IS NOT NULL"),
+    ]
+    rows = []
+    for label, g, s, cond in pairs:
+        rows.append(f"SELECT '{label}' AS fact_table, (SELECT count(*) FROM ({O.GOLD[g]()})) AS gold_count, "
+                    f"(SELECT count(*) FROM ({O.SILVER[s]()}) WHERE {cond}) AS silver_count")
+    body = "\nUNION ALL ".join(rows)
+    return (f"SELECT fact_table, gold_count, silver_count, "
+            f"round(gold_count * 100.0 / NULLIF(silver_count, 0), 2) AS retention_pct, "
+            f"gold_count < CAST(trunc(silver_count * 0.95) AS BIGINT) AS failed FROM ({body})")
+
+
+NULL_FK_CHECKS = {
+    "fact_transaction": ["date_key", "park_key", "product_key"],
+    "fact_gate_event": ["date_key", "park_key", "gate_key"],
+    "fact_ride_operations": ["date_key", "park_key", "ride_key"],
+    "fact_weather_observation": ["date_key", "park_key", "weather_key"],
+    "fact_customer_feedback": ["park_key"],
+}
+
+
+def dq_late_arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q13: NULL mandatory foreign keys per fact (all 13 counts, one scan per fact)."""
+    w = Warehouse(spark, sf_dir)
+    return Q.null_fk_report({f: (w.gold(f), cols) for f, cols in NULL_FK_CHECKS.items()},
+                            failing_only=False)
+
+
+def _late_sql() -> str:
+    rows = []
+    for f, cols in NULL_FK_CHECKS.items():
+        for c in cols:
+            rows.append(f"SELECT '{f}{Q.LABEL_SEP}NULL {c}' AS validation, "
+                        f"(SELECT count(*) FROM ({O.GOLD[f]()}) WHERE {c} IS NULL) AS violation_count")
+    return "\nUNION ALL ".join(rows)
+
+
+def dq_inactive_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12: fact rows pointing at staff whose ``is_active`` is FALSE."""
+    w = Warehouse(spark, sf_dir)
+    return Q.inactive_dim_rows(
+        [("fact_transaction", w.gold("fact_transaction"), "transaction_key", "staff_key"),
+         ("fact_ride_operations", w.gold("fact_ride_operations"), "ride_ops_key", "staff_key")],
+        w.gold("dim_staff"), "staff_key")
+
+
+def _inactive_sql() -> str:
+    ds = O.GOLD["dim_staff"]()
+    out = []
+    for label, f, k in (("fact_transaction", "fact_transaction", "transaction_key"),
+                        ("fact_ride_operations", "fact_ride_operations", "ride_ops_key")):
+        out.append(f"SELECT '{label}' AS fact_table, ft.{k} AS fact_key, ft.staff_key, "
+                   f"ds.source_employee_id, ds.staff_status FROM ({O.GOLD[f]()}) ft "
+                   f"JOIN ({ds}) ds ON ds.staff_key = ft.staff_key WHERE ds.is_active = FALSE")
+    return "\nUNION ALL ".join(out)
+
+
+def dq_ri_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q14: referential-integrity report over the silver tables."""
+    w = Warehouse(spark, sf_dir)
+    s = w.silver
+    R = Q.Relation
+    return Q.ri_report([
+        R("transactions.customer -> customers", s("silver_transactions"), "source_customer_id",
+          s("silver_customers"), "source_customer_id", nullable=True),
+        R("transactions.product -> products", s("silver_transactions"), "product_code",
+          s("silver_products"), "product_code"),
+        R("transactions.cashier -> staff", s("silver_transactions"), "cashier_id",
+          s("silver_staff"), "source_employee_id"),
+        R("gate_events.customer -> customers", s("silver_gate_events"), "source_customer_id",
+          s("silver_customers"), "source_customer_id"),
+        R("ride_ops.operator -> staff", s("silver_ride_opeartions"), "lead_operator_id",
+          s("silver_staff"), "source_employee_id"),
+        R("feedback.customer -> customers", s("silver_feedback"), "source_customer_id",
+          s("silver_customers"), "source_customer_id"),
+    ])
+
+
+RI_RELATIONS = [
+    ("transactions.customer -> customers", "silver_transactions", "source_customer_id",
+     "silver_customers", "source_customer_id", True),
+    ("transactions.product -> products", "silver_transactions", "product_code",
+     "silver_products", "product_code", False),
+    ("transactions.cashier -> staff", "silver_transactions", "cashier_id",
+     "silver_staff", "source_employee_id", False),
+    ("gate_events.customer -> customers", "silver_gate_events", "source_customer_id",
+     "silver_customers", "source_customer_id", False),
+    ("ride_ops.operator -> staff", "silver_ride_opeartions", "lead_operator_id",
+     "silver_staff", "source_employee_id", False),
+    ("feedback.customer -> customers", "silver_feedback", "source_customer_id",
+     "silver_customers", "source_customer_id", False),
+]
+
+
+def _ri_sql() -> str:
+    rows = []
+    for label, child, fk, parent, pk, nullable in RI_RELATIONS:
+        cond = f"WHERE {fk} IS NOT NULL AND {fk} <> 'None'" if nullable else ""
+        ch = f"(SELECT {fk} FROM ({O.SILVER[child]()}) {cond})"
+        pa = f"({O.SILVER[parent]()})"
+        rows.append(
+            f"SELECT '{label}' AS label, (SELECT count(*) FROM {ch}) AS total, "
+            f"(SELECT count(*) FROM {ch} c WHERE NOT EXISTS (SELECT 1 FROM {pa} p "
+            f"WHERE p.{pk} = c.{fk})) AS orphans, {str(nullable).upper()} AS nullable")
+    body = "\nUNION ALL ".join(rows)
+    return (f"SELECT label, total, orphans, orphans / greatest(total, 1) * 100.0 AS orphan_pct, "
+            f"nullable, CASE WHEN orphans = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({body})")
+
+
+def dq_duplicate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 on raw lines: (order, line number) pairs held by more than one row."""
+    return Q.check_unique(D.read(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+DUP_LINES_SQL = ("SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem "
+                 "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
+
+
+def dq_gate_event_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: gate event types outside ENTRY / EXIT, with counts."""
+    return Q.check_accepted(Warehouse(spark, sf_dir).silver("silver_gate_events"), "event_type",
+                            ["ENTRY", "EXIT"])
+
+
+def _event_types_sql() -> str:
+    return (f"SELECT event_type AS value_field, count(*) AS n_records FROM "
+            f"({O.silver_gate_events()}) WHERE event_type NOT IN ('ENTRY', 'EXIT') GROUP BY event_type")
+
+
+def dq_feedback_score_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 on landing feedback: raw overall scores outside 0..10 (before the guard)."""
+    return Q.check_range(D.landing(spark, sf_dir, "raw_feedback"), "overall_score", 0, 10)
+
+
+def _score_range_sql() -> str:
+    return (f"SELECT * FROM ({D.landing_sql('raw_feedback')}) "
+            f"WHERE NOT (overall_score >= 0 AND overall_score <= 10)")
+
+
+def dq_amount_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: fact lines whose discount exceeds 9 % of the gross amount."""
+    return Q.check_expr(Warehouse(spark, sf_dir).gold("fact_transaction"),
+                        "discount_amount <= 0.09 * gross_amount")
+
+
+def _amount_rule_sql() -> str:
+    return (f"SELECT * FROM ({O.fact_transaction()}) "
+            f"WHERE NOT (discount_amount <= 0.09 * gross_amount)")
+
+
+# ------------------------------------------------------------------ registry
 
 def queries() -> dict:
-    return {}
+    def dd(fn):
+        return lambda spark, sf_dir: decimals_to_double(fn(spark, sf_dir))
+    return {
+        "bronze_products_two_tenants": bronze_products_two_tenants,
+        "bronze_parties_union": parties_union,
+        "landing_row_ids": landing_row_ids,
+        "landing_sales_amounts": sales_amounts,
+        "landing_customer_names": customer_names,
+        "incremental_upsert_transactions": dd(upsert_transactions),
+        "incremental_watermark_slice": watermark_slice,
+        "incremental_schema_sync_staff": schema_sync_staff,
+        "dq_gold_suite": dq_gold_suite,
+        "dq_reconciliation": dq_reconciliation,
+        "dq_late_arriving_dimensions": dq_late_arriving,
+        "dq_inactive_staff_in_facts": dq_inactive_staff,
+        "dq_ri_report": dq_ri_report,
+        "dq_duplicate_lines": dq_duplicate_lines,
+        "dq_gate_event_types": dq_gate_event_types,
+        "dq_feedback_score_range": dq_feedback_score_range,
+        "dq_amount_rule": dq_amount_rule,
+    }
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {
+        "bronze_products_two_tenants": _bronze_products_sql(),
+        "bronze_parties_union": PARTIES_SQL,
+        "landing_row_ids": ROW_IDS_SQL,
+        "landing_sales_amounts": SALES_SQL,
+        "landing_customer_names": NAMES_SQL,
+        "incremental_upsert_transactions": _upsert_sql(),
+        "incremental_watermark_slice": _watermark_sql(),
+        "incremental_schema_sync_staff": _schema_sync_sql(),
+        "dq_gold_suite": _suite_sql(),
+        "dq_reconciliation": _recon_sql(),
+        "dq_late_arriving_dimensions": _late_sql(),
+        "dq_inactive_staff_in_facts": _inactive_sql(),
+        "dq_ri_report": _ri_sql(),
+        "dq_duplicate_lines": DUP_LINES_SQL,
+        "dq_gate_event_types": _event_types_sql(),
+        "dq_feedback_score_range": _score_range_sql(),
+        "dq_amount_rule": _amount_rule_sql(),
+    }
+
+
+__all__ = ["queries", "oracle_sql", "GOLD_MODELS"]

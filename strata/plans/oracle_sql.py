@@ -52,11 +52,12 @@ def tod(ts: str) -> str:
             f"THEN 'Afternoon' WHEN {h} BETWEEN 17 AND 20 THEN 'Evening' ELSE 'Off-Hours' END")
 
 
-def latest(name: str, keys: list[str], order: str) -> str:
+def latest(name: str, keys: list[str], order: str, where: str | None = None) -> str:
     """Latest row per key over the landing table, with the total tiebreak."""
     rest = [c for c in D.landing_columns(name) if c not in keys]
     tb = ", ".join(f"{c} ASC NULLS FIRST" for c in rest)
-    return (f"SELECT * FROM ({D.landing_sql(name)}) QUALIFY row_number() OVER ("
+    w = f" WHERE {where}" if where else ""
+    return (f"SELECT * FROM ({D.landing_sql(name)}){w} QUALIFY row_number() OVER ("
             f"PARTITION BY {', '.join(keys)} ORDER BY TRY_CAST({order} AS TIMESTAMP) "
             f"DESC NULLS LAST, {tb}) = 1")
 
@@ -98,8 +99,9 @@ FROM (
 )"""
 
 
-def silver_transactions() -> str:
-    d = latest("raw_transactions", ["source_transaction_id", "product_code"], "ingestion_timestamp")
+def silver_transactions(where: str | None = None) -> str:
+    d = latest("raw_transactions", ["source_transaction_id", "product_code"], "ingestion_timestamp",
+               where)
     return f"""
 SELECT {sk('source_transaction_id')} AS transaction_sk, source_transaction_id, product_code,
   {sk('source_customer_id')} AS customer_sk, source_customer_id, cashier_id, terminal_id, park_code,
