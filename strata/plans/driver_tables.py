@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import initcap_trim, upper_trim
+from ..sources.landing import spread_small_scan
 
 # Fixed parameters of the derivation.
 INGESTED_AT = "2024-02-01 00:00:00"
@@ -282,8 +283,13 @@ def duck_expr(e) -> str:
     return e[1] if isinstance(e, tuple) else e
 
 
+# Tables small enough to stay one split (joined by broadcast).
+_TINY = ("region", "nation")
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name in _TINY else spread_small_scan(df)
 
 
 def _geo(spark, sf_dir, key_df_col_name: str, df: DataFrame, how: str) -> DataFrame:

@@ -244,7 +244,7 @@ UNION ALL SELECT * FROM batch"""
 
 def dq_gold_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1-Q9 + Q11: the declared gold tests, folded per table."""
-    return run_gold_suite(Warehouse(spark, sf_dir))
+    return run_gold_suite(Warehouse.materialized(spark, sf_dir))
 
 
 def _suite_sql() -> str:
@@ -297,7 +297,7 @@ def _suite_sql() -> str:
 
 def dq_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q10: gold vs silver counts with retention % and the 95 % floor (all rows)."""
-    return reconciliation(Warehouse(spark, sf_dir), failing_only=False)
+    return reconciliation(Warehouse.materialized(spark, sf_dir), failing_only=False)
 
 
 def _recon_sql() -> str:
@@ -330,7 +330,7 @@ NULL_FK_CHECKS = {
 
 def dq_late_arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q13: NULL mandatory foreign keys per fact (all 13 counts, one scan per fact)."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.materialized(spark, sf_dir)
     return Q.null_fk_report({f: (w.gold(f), cols) for f, cols in NULL_FK_CHECKS.items()},
                             failing_only=False)
 
@@ -346,7 +346,7 @@ def _late_sql() -> str:
 
 def dq_inactive_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q12: fact rows pointing at staff whose ``is_active`` is FALSE."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.materialized(spark, sf_dir)
     return Q.inactive_dim_rows(
         [("fact_transaction", w.gold("fact_transaction"), "transaction_key", "staff_key"),
          ("fact_ride_operations", w.gold("fact_ride_operations"), "ride_ops_key", "staff_key")],
@@ -366,7 +366,7 @@ def _inactive_sql() -> str:
 
 def dq_ri_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q14: referential-integrity report over the silver tables."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.materialized(spark, sf_dir, layers=("silver",))
     s = w.silver
     R = Q.Relation
     return Q.ri_report([

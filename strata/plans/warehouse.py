@@ -98,6 +98,20 @@ class Warehouse:
         return self._get(name, builders[name])
 
     # ------------------------------------------------------------- write out
+    @classmethod
+    def materialized(cls, spark: SparkSession, sf_dir: str, as_of: str | None = D.AS_OF,
+                     root: str | None = None, layers=("silver", "gold")) -> "Warehouse":
+        """A warehouse whose layers are written (under ``root``, default a fresh
+        folder in the shared checkpoint directory) and read back."""
+        if root is None:
+            import uuid
+            from ..session import scratch_path
+            root = scratch_path(spark, f"warehouse-{uuid.uuid4().hex[:12]}")
+        w = cls(spark, sf_dir, as_of)
+        w.root = root
+        w.materialize(root, layers)
+        return w
+
     def materialize(self, root: str, layers=("silver", "gold")) -> dict[str, str]:
         """Write silver then gold tables under ``root`` and re-read them."""
         from ..sources.sinks import write_table

@@ -26,16 +26,30 @@ def layer_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
+def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a scan that has fewer splits than the cluster
+    has task slots (e.g. one small file of one row group), so that the work
+    before the first shuffle is not done by a single task.  Large inputs
+    already have at least that many splits and are returned unchanged; the
+    check only plans the scan, it does not run it."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def read_landing(spark: SparkSession, root: str, name: str, layer: str = "landing_zone",
                  columns: Sequence[str] | None = None) -> DataFrame:
     """Read one named table (parquet); ``columns`` prunes at the scan."""
     df = spark.read.parquet(layer_path(root, layer, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread_small_scan(df)
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread_small_scan(df)
 
 
 def with_row_id(df: DataFrame, order_by: Sequence, name: str = "bronze_id",
