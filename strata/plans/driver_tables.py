@@ -300,7 +300,9 @@ def _geo(spark, sf_dir, key_df_col_name: str, df: DataFrame, how: str) -> DataFr
     return out.join(F.broadcast(region), out["n_regionkey"] == region["r_regionkey"], how)
 
 
-def _sources(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _sources(spark: SparkSession, sf_dir: str, name: str, base: DataFrame | None = None) -> DataFrame:
+    """The joined driver rows behind a landing table.  ``base`` replaces the
+    first (largest) table, e.g. with a streaming micro-batch of events."""
     r = lambda t: read(spark, sf_dir, t)
     if name == "raw_customers":
         return _geo(spark, sf_dir, "c_nationkey", r("customer"), "inner")
@@ -312,7 +314,7 @@ def _sources(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         j = j.join(c, j["o_custkey"] == c["c_custkey"], "left")
         return _geo(spark, sf_dir, "c_nationkey", j, "left")
     if name in ("raw_gate_events", "raw_feedback", "raw_weather"):
-        e = r("events")
+        e = r("events") if base is None else base
         c = r("customer").select("c_custkey", "c_nationkey")
         j = e.join(c, e["user_id"] == c["c_custkey"], "left")
         return _geo(spark, sf_dir, "c_nationkey", j, "left")
@@ -328,10 +330,10 @@ def _sources(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     raise KeyError(name)
 
 
-def landing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def landing(spark: SparkSession, sf_dir: str, name: str, base: DataFrame | None = None) -> DataFrame:
     """Bronze-shaped landing rows for ``name`` (e.g. ``raw_transactions``)."""
     spec, _ = SPECS[name]
-    return _sources(spark, sf_dir, name).selectExpr(
+    return _sources(spark, sf_dir, name, base).selectExpr(
         *[f"{spark_expr(e)} AS {c}" for c, e in spec])
 
 

@@ -240,6 +240,24 @@ SELECT {old} FROM new n WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.staff_sk
 UNION ALL SELECT * FROM batch"""
 
 
+def stream_silver_gate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + S5 as a stream: events files read with ``availableNow``, each
+    micro-batch derived, cleaned by the silver builder and upserted on
+    ``gate_event_sk`` into a versioned table in the shared checkpoint folder."""
+    import uuid
+    from ..session import scratch_path
+    from ..streaming import run_available_now
+    from .silver import build_silver_gate_events
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
+    schema = D.read(spark, sf_dir, "events").schema
+    return run_available_now(
+        spark, sf_dir, schema,
+        lambda batch: build_silver_gate_events(
+            D.landing(spark, sf_dir, "raw_gate_events", base=batch), as_of=D.AS_OF),
+        f"{run}/silver_gate_events", ["gate_event_sk"], f"{run}/_checkpoint",
+        file_glob="events.parquet")
+
+
 # ---------------------------------------------------------------- quality checks
 
 def dq_gold_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,6 +489,7 @@ def queries() -> dict:
         "incremental_upsert_transactions": dd(upsert_transactions),
         "incremental_watermark_slice": watermark_slice,
         "incremental_schema_sync_staff": schema_sync_staff,
+        "stream_silver_gate_events": stream_silver_gate_events,
         "dq_gold_suite": dq_gold_suite,
         "dq_reconciliation": dq_reconciliation,
         "dq_late_arriving_dimensions": dq_late_arriving,
@@ -493,6 +512,7 @@ def oracle_sql() -> dict:
         "incremental_upsert_transactions": _upsert_sql(),
         "incremental_watermark_slice": _watermark_sql(),
         "incremental_schema_sync_staff": _schema_sync_sql(),
+        "stream_silver_gate_events": O.silver_gate_events(),
         "dq_gold_suite": _suite_sql(),
         "dq_reconciliation": _recon_sql(),
         "dq_late_arriving_dimensions": _late_sql(),
