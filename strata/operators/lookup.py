@@ -38,18 +38,31 @@ def _pairs(on) -> list[tuple[str, str]]:
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on, take, required: bool = True,
-           max_rows: int | None = None, broadcast: bool = False) -> DataFrame:
+           max_rows: int | None = None, broadcast: bool = False, salt: int = 1,
+           salt_by: Sequence[str] | None = None) -> DataFrame:
     """Join ``dim`` to ``fact`` on ``on`` and append the ``take`` columns.
 
     ``on``: name, list of names, or ``{fact_col: dim_col}``; ``take``: list of
     dim columns or ``{dim_col: alias}``.  ``broadcast=True`` is for dimensions
     whose size is bounded by construction (a calendar of a fixed range).
+
+    ``salt=n`` (for a shuffle join whose key is hot, when AQE skew splitting
+    is not available): every dimension row is copied ``n`` times with salts
+    ``0..n-1`` and each fact row carries ``xxhash64(salt_by) mod n`` (a
+    deterministic value, default over all fact columns), so one hot key is
+    spread over ``n`` reducers.  Each fact row still meets exactly the
+    dimension rows of its key, so the result is the same.
     """
     pairs = _pairs(on)
     take_map = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
     sel = [F.col(d).alias(f"__k{i}") for i, (_, d) in enumerate(pairs)]
     sel += [F.col(src).alias(dst) for src, dst in take_map.items()]
     right = dim.select(*sel)
+    if salt > 1:
+        cols = list(salt_by) if salt_by else fact.columns
+        fact = fact.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt)))
+        right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                F.lit(salt - 1).cast("long"))))
     if broadcast:
         right = F.broadcast(right)
     elif max_rows is not None:
@@ -58,8 +71,13 @@ def lookup(fact: DataFrame, dim: DataFrame, on, take, required: bool = True,
     for i, (f, _) in enumerate(pairs):
         e = fact[f] == right[f"__k{i}"]
         cond = e if cond is None else (cond & e)
+    if salt > 1:
+        cond = cond & (fact["__salt"] == right["__salt"])
     out = fact.join(right, cond, "inner" if required else "left")
-    return out.drop(*[f"__k{i}" for i in range(len(pairs))])
+    drop = [f"__k{i}" for i in range(len(pairs))]
+    if salt > 1:
+        out = out.drop(fact["__salt"]).drop(right["__salt"])
+    return out.drop(*drop)
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str | Sequence[str],

@@ -180,6 +180,21 @@ class Relation:
 RI_NULL_TEXTS = ("None",)
 
 
+def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """One row ``(total, orphans)`` for the child key column.
+
+    The child keys are first counted per distinct value (partial + final
+    aggregate), so the anti join and its shuffle see each key value once,
+    however many rows hold it.
+    """
+    per_key = child.groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
+    keys = parent.select(F.col(pk).alias("__pk"))
+    missing = per_key.join(keys, per_key["__fk"] == keys["__pk"], "left_anti")
+    total = per_key.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("total"))
+    orph = missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("orphans"))
+    return total.crossJoin(orph)
+
+
 def ri_report(relations: Sequence[Relation]) -> DataFrame:
     """Per relation: label, total, orphans, orphan %, nullable, PASS/FAIL.
 
@@ -191,9 +206,7 @@ def ri_report(relations: Sequence[Relation]) -> DataFrame:
         child = r.child.select(F.col(r.fk))
         if r.nullable:
             child = child.filter(F.col(r.fk).isNotNull() & ~F.col(r.fk).isin(list(RI_NULL_TEXTS)))
-        total = child.agg(F.count(F.lit(1)).alias("total"))
-        orph = orphans(child, r.parent, r.fk, r.pk).agg(F.count(F.lit(1)).alias("orphans"))
-        row = total.crossJoin(orph).select(
+        row = orphan_count(child, r.fk, r.parent, r.pk).select(
             F.lit(r.label).alias("label"), "total", "orphans",
             (F.col("orphans") / F.greatest(F.col("total"), F.lit(1)) * 100.0).alias("orphan_pct"),
             F.lit(r.nullable).alias("nullable"),
@@ -251,11 +264,69 @@ def _failure_count(df: DataFrame, chk: Check) -> Column:
     raise ValueError(chk.kind)
 
 
+def _unique_failures(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
+    """All uniqueness checks of one table in one shuffle.
+
+    Each row emits one ``(check, key)`` entry per check (the key as an array
+    of texts; single-column checks skip NULL keys), one grouped count finds
+    the duplicated keys, and a second, tiny aggregate counts them per check.
+    """
+    entries = []
+    for i, c in enumerate(checks):
+        cols = [c.column] if c.kind == "unique" else list(c.columns)
+        e = F.struct(F.lit(i).alias("cid"),
+                     F.array(*[F.col(x).cast("string") for x in cols]).alias("key"))
+        if c.kind == "unique":
+            e = F.when(F.col(c.column).isNotNull(), e)
+        entries.append(e)
+    exploded = (df.select(F.explode(F.array(*entries)).alias("u"))
+                  .filter(F.col("u").isNotNull()).select("u.cid", "u.key"))
+    dup = (exploded.groupBy("cid", "key").agg(F.count(F.lit(1)).alias("n"))
+                   .filter(F.col("n") > 1).groupBy("cid").agg(F.count(F.lit(1)).alias("f")))
+    labels = df.sparkSession.createDataFrame(
+        [(i, model, c.label(), c.severity) for i, c in enumerate(checks)],
+        "cid int, model string, test string, severity string")
+    return (labels.join(dup, "cid", "left")
+                  .select("model", "test", F.coalesce(F.col("f"), F.lit(0)).cast("long").alias("failures"),
+                          "severity"))
+
+
+def _fk_failures(df: DataFrame, model: str, checks: Sequence[Check],
+                 tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All foreign-key checks of one table with one scan of it.
+
+    The child emits ``(check, key)`` per non-NULL foreign key and is counted
+    per distinct pair (partial + final aggregate, so a hot key is one row per
+    map task); the parents' key sets are tagged with the check id and
+    unioned; one anti join on (check, key) leaves the orphan keys.
+    """
+    entries = [F.when(F.col(c.column).isNotNull(),
+                      F.struct(F.lit(i).alias("cid"), F.col(c.column).cast("string").alias("key")))
+               for i, c in enumerate(checks)]
+    child = (df.select(F.explode(F.array(*entries)).alias("u")).filter(F.col("u").isNotNull())
+               .groupBy(F.col("u.cid").alias("cid"), F.col("u.key").alias("key"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    parents = None
+    for i, c in enumerate(checks):
+        p = tables[c.parent].select(F.lit(i).alias("cid"),
+                                    F.col(c.parent_column).cast("string").alias("key"))
+        parents = p if parents is None else parents.unionByName(p)
+    missing = (child.join(parents, ["cid", "key"], "left_anti")
+                    .groupBy("cid").agg(F.sum("n").alias("f")))
+    labels = df.sparkSession.createDataFrame(
+        [(i, model, c.label(), c.severity) for i, c in enumerate(checks)],
+        "cid int, model string, test string, severity string")
+    return (labels.join(missing, "cid", "left")
+                  .select("model", "test", F.coalesce(F.col("f"), F.lit(0)).cast("long").alias("failures"),
+                          "severity"))
+
+
 def run_suite(tables: Mapping[str, DataFrame], suite: Mapping[str, Sequence[Check]]) -> DataFrame:
     """Run declared checks; one row per check: model, test, failures, severity, status.
 
-    Per table, all row-level checks share ONE aggregate pass; each ``unique``
-    check is a grouped count and each ``relationships`` check an anti join.
+    Per table (one scan each): all row-level checks share ONE aggregate pass,
+    all uniqueness checks share one grouped count, and all ``relationships``
+    checks share one anti join over the distinct (check, key) pairs.
     """
     out = []
     for model, checks in suite.items():
@@ -268,20 +339,16 @@ def run_suite(tables: Mapping[str, DataFrame], suite: Mapping[str, Sequence[Chec
                 F.struct(F.lit(model).alias("model"), F.lit(c.label()).alias("test"),
                          F.col(f"c{i}").alias("failures"), F.lit(c.severity).alias("severity"))
                 for i, c in enumerate(fold)])).alias("r")).select("r.*"))
-        for c in checks:
-            if c.kind in _FOLDABLE:
-                continue
-            if c.kind == "unique":
-                bad = check_unique(df, c.column)
-            elif c.kind == "unique_combination":
-                bad = check_unique(df, *c.columns)
-            elif c.kind == "relationships":
-                bad = check_fk(df, c.column, tables[c.parent], c.parent_column)
-            else:
-                raise ValueError(c.kind)
-            out.append(bad.agg(F.count(F.lit(1)).cast("long").alias("failures")).select(
-                F.lit(model).alias("model"), F.lit(c.label()).alias("test"), "failures",
-                F.lit(c.severity).alias("severity")))
+        uniq = [c for c in checks if c.kind in ("unique", "unique_combination")]
+        if uniq:
+            out.append(_unique_failures(df, model, uniq))
+        fks = [c for c in checks if c.kind == "relationships"]
+        if fks:
+            out.append(_fk_failures(df, model, fks, tables))
+        unknown = [c.kind for c in checks if c.kind not in _FOLDABLE
+                   and c.kind not in ("unique", "unique_combination", "relationships")]
+        if unknown:
+            raise ValueError(unknown)
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)

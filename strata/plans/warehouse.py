@@ -112,18 +112,33 @@ class Warehouse:
         w.materialize(root, layers)
         return w
 
-    def materialize(self, root: str, layers=("silver", "gold")) -> dict[str, str]:
-        """Write silver then gold tables under ``root`` and re-read them."""
+    def materialize(self, root: str, layers=("silver", "gold"), parallel: int = 4) -> dict[str, str]:
+        """Write silver, then the dimensions, then the facts under ``root`` and
+        re-read each table, so later models read stored tables.
+
+        Tables of one wave do not depend on each other; their write jobs are
+        submitted from ``parallel`` threads so that small jobs share the
+        cluster instead of queueing one after another.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+
         from ..sources.sinks import write_table
-        paths = {}
+        paths: dict[str, str] = {}
+
+        def wave(layer, names, build):
+            plans = {n: build(n) for n in names}          # plan on the caller thread
+            def one(n):
+                return n, write_table(plans[n], root, layer, n)
+            with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+                for n, path in pool.map(one, names):
+                    paths[n] = path
+                    self.tables[n] = self.spark.read.parquet(path)
+
         if "silver" in layers:
-            for name in S.SILVER_BUILDERS:
-                paths[name] = write_table(self.silver(name), root, "silver", name)
-                self.tables[name] = self.spark.read.parquet(paths[name])
+            wave("silver", list(S.SILVER_BUILDERS), self.silver)
         if "gold" in layers:
-            for name in GOLD_MODELS:
-                paths[name] = write_table(self.gold(name), root, "gold", name)
-                self.tables[name] = self.spark.read.parquet(paths[name])
+            wave("gold", GOLD_DIMS, self.gold)
+            wave("gold", GOLD_FACTS, self.gold)
         return paths
 
 

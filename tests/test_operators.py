@@ -158,3 +158,21 @@ def test_with_row_id_consecutive(spark):
     assert [g[0] for g in got] == list(range(1, 1001))
     assert all(g[1] == g[0] - 1 for g in got)
     assert out.columns[0] == "bronze_id"
+
+
+def test_salted_lookup_same_result(spark):
+    fact = spark.createDataFrame([(i, "hot" if i % 3 else "cold") for i in range(60)] + [(99, None)],
+                                 "id int, code string")
+    dim = spark.createDataFrame([("hot", 1), ("cold", 2)], "code string, k int")
+    plain = rows(lookup(fact, dim, "code", ["k"], required=False), "id", "k")
+    salted = lookup(fact, dim, "code", ["k"], required=False, salt=4, salt_by=["id"])
+    assert rows(salted, "id", "k") == plain
+    assert "__salt" not in salted.columns
+
+
+def test_orphan_count_preaggregates(spark):
+    from strata.operators.quality import orphan_count
+    child = spark.createDataFrame([("a",)] * 50 + [("z",)] * 3, "fk string")
+    parent = spark.createDataFrame([("a",)], "pk string")
+    r = orphan_count(child, "fk", parent, "pk").first()
+    assert (r.total, r.orphans) == (53, 3)
