@@ -51,22 +51,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and versioned tables.
+    """Shared folder for lineage cuts and versioned scratch tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) a scratch folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir`` (a core setting, fixed
+    when the application starts).  Only when it is unset (local tests) a
+    scratch folder is created and registered with
+    ``SparkContext.setCheckpointDir``.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-    except Exception:
-        pass
+        spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 

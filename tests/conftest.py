@@ -12,8 +12,8 @@ def spark():
     from strata.session import get_session
     s = get_session("local[4]", 8, app_name="strata-tests")
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-test-ckpt-"))
+    from strata.session import checkpoint_dir
+    checkpoint_dir(s)  # registers a local folder only when the setting is unset
     yield s
 
 
