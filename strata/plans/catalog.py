@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import driver_tables as D
 from . import oracle_sql as O
 from .silver import SILVER_BUILDERS
 from .warehouse import GOLD_MODELS, Warehouse, decimals_to_double
@@ -17,6 +18,10 @@ from .warehouse import GOLD_MODELS, Warehouse, decimals_to_double
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _bronze(name: str) -> Query:
+    return lambda spark, sf_dir: Warehouse(spark, sf_dir).bronze(name)
+
+
 def _silver(name: str) -> Query:
     return lambda spark, sf_dir: decimals_to_double(Warehouse(spark, sf_dir).silver(name))
 
@@ -27,6 +32,8 @@ def _gold(name: str) -> Query:
 
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
+    for name in D.SPECS:
+        q[f"bronze_{name}"] = _bronze(name)
     for name in SILVER_BUILDERS:
         q[name] = _silver(name)
     for name in GOLD_MODELS:
@@ -37,7 +44,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {name: f() for name, f in O.SILVER.items()}
+    sql = {f"bronze_{name}": D.landing_sql(name) for name in D.SPECS}
+    sql.update({name: f() for name, f in O.SILVER.items()})
     sql.update({name: f() for name, f in O.GOLD.items()})
     from . import extra_queries as X
     sql.update(X.oracle_sql())
