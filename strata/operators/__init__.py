@@ -3,7 +3,7 @@
 from .aggregate import dim_from_groups, null_counts, ratio_pct
 from .dedup import latest_per_key, total_tiebreak
 from .incremental import (VersionedTable, incremental_slice, sync_columns, upsert,
-                          upsert_table, watermark)
+                          upsert_partitions, upsert_table, watermark)
 from .lookup import bounded_broadcast, lookup, orphans
 from .quality import (Check, ReconcilePair, Relation, check_accepted, check_at_least_one,
                       check_count, check_expr, check_fk, check_not_null, check_range,

@@ -128,3 +128,61 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Seque
     merged = upsert(table.read(), updates, keys, collapse_order=collapse_order)
     v = table.commit(merged, partition_by)
     return spark.read.parquet(f"{table.path}/v{v}")
+
+
+def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
+                      partition_by: Sequence[str], collapse_order: Sequence | None = None,
+                      staging: str | None = None, max_partition_filter: int = 10_000) -> DataFrame:
+    """Keyed upsert into a partitioned parquet table, rewriting only the
+    partitions that the batch touches.
+
+    A key's partition value must not change between loads (partition by an
+    attribute fixed at creation, such as the event date).  Steps: the batch's
+    distinct partition values (small: one row per touched partition) select
+    the stored rows.  Up to ``max_partition_filter`` touched partitions (a
+    bound on partition values, not on rows; checked with ``limit(n + 1)``) become
+    a static partition filter, so the scan lists and reads only those folders;
+    beyond it a semi join on the partition columns selects them.  Those rows are
+    merged with the
+    batch; the merged partitions are staged under ``staging`` (default: the
+    shared checkpoint folder), which cuts the lineage to the table being
+    replaced; finally they replace their partitions with a dynamic partition
+    overwrite.  If that last step fails, re-running it from the staged copy
+    gives the same table.
+    """
+    from pyspark.errors import AnalysisException
+
+    from ..session import scratch_path
+    if collapse_order is not None:
+        updates = latest_per_key(updates, keys, collapse_order)
+    # read with the batch's schema: partition values keep their declared
+    # types instead of the types inferred from folder names
+    read = lambda p: spark.read.schema(updates.schema).parquet(p)
+    try:
+        stored = read(path)
+        stored.columns  # noqa: B018  (resolves the path)
+    except AnalysisException:
+        stored = None
+    if stored is None:
+        updates.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        return read(path)
+    touched = updates.select(*partition_by).distinct()
+    values = touched.limit(max_partition_filter + 1).collect()
+    if len(values) <= max_partition_filter:
+        cond = F.lit(False)
+        for row in values:
+            one = F.lit(True)
+            for c in partition_by:
+                one = one & (F.col(c).isNull() if row[c] is None else (F.col(c) == F.lit(row[c])))
+            cond = cond | one
+        old = stored.filter(cond)
+    else:
+        old = stored.join(touched, list(partition_by), "left_semi")
+    merged = upsert(old, updates.select(*stored.columns), keys, sync_schema=False)
+    if staging is None:
+        import uuid
+        staging = scratch_path(spark, f"upsert-staging-{uuid.uuid4().hex[:12]}")
+    merged.write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
+    (read(staging).select(*stored.columns).write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    return read(path)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .aggregate import ratio_pct
@@ -366,4 +366,4 @@ def with_severity(failing: DataFrame, severity: str) -> DataFrame:
 __all__ = ["check_unique", "check_not_null", "check_accepted", "check_range", "check_expr",
            "check_fk", "check_at_least_one", "check_count", "ReconcilePair", "reconcile",
            "inactive_dim_rows", "null_fk_report", "Relation", "ri_report", "Check",
-           "run_suite", "with_severity", "SparkSession"]
+           "run_suite", "with_severity", "orphan_count"]

@@ -287,9 +287,11 @@ def duck_expr(e) -> str:
 _TINY = ("region", "nation")
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """A driver table; ``spread=False`` for tables that only feed a join's
+    build side (spreading them would add a shuffle that buys nothing)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in _TINY else spread_small_scan(df)
+    return df if (name in _TINY or not spread) else spread_small_scan(df)
 
 
 def _geo(spark, sf_dir, key_df_col_name: str, df: DataFrame, how: str) -> DataFrame:
@@ -304,23 +306,24 @@ def _sources(spark: SparkSession, sf_dir: str, name: str, base: DataFrame | None
     """The joined driver rows behind a landing table.  ``base`` replaces the
     first (largest) table, e.g. with a streaming micro-batch of events."""
     r = lambda t: read(spark, sf_dir, t)
+    side = lambda t: read(spark, sf_dir, t, spread=False)
     if name == "raw_customers":
         return _geo(spark, sf_dir, "c_nationkey", r("customer"), "inner")
     if name == "raw_transactions":
         li = r("lineitem")
-        o = r("orders")
-        c = r("customer").select("c_custkey", "c_nationkey")
+        o = side("orders")
+        c = side("customer").select("c_custkey", "c_nationkey")
         j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
         j = j.join(c, j["o_custkey"] == c["c_custkey"], "left")
         return _geo(spark, sf_dir, "c_nationkey", j, "left")
     if name in ("raw_gate_events", "raw_feedback", "raw_weather"):
         e = r("events") if base is None else base
-        c = r("customer").select("c_custkey", "c_nationkey")
+        c = side("customer").select("c_custkey", "c_nationkey")
         j = e.join(c, e["user_id"] == c["c_custkey"], "left")
         return _geo(spark, sf_dir, "c_nationkey", j, "left")
     if name == "raw_ride_operations":
         li = r("lineitem")
-        s = r("supplier").select("s_suppkey", "s_nationkey")
+        s = side("supplier").select("s_suppkey", "s_nationkey")
         j = li.join(s, li["l_suppkey"] == s["s_suppkey"], "left")
         return _geo(spark, sf_dir, "s_nationkey", j, "left")
     if name == "raw_products":

@@ -18,7 +18,7 @@ from ..sources.landing import with_row_id
 from . import driver_tables as D
 from . import oracle_sql as O
 from .silver import build_silver_staff, build_silver_transactions
-from .warehouse import Warehouse, decimals_to_double, reconciliation, run_gold_suite, gold_suite, GOLD_MODELS
+from .warehouse import Warehouse, decimals_to_double, gold_suite, reconciliation, run_gold_suite
 
 # Fixed parameters of the two-batch incremental load: rows ingested up to the
 # cutoff form the first load, the rest arrive in the second run.
@@ -159,7 +159,6 @@ def upsert_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver_cols(fn) -> list[str]:
-    import re
     sql = fn()
     head = sql[sql.index("SELECT") + 6: sql.index("FROM (")]
     cols = []
@@ -525,4 +524,4 @@ def oracle_sql() -> dict:
     }
 
 
-__all__ = ["queries", "oracle_sql", "GOLD_MODELS"]
+__all__ = ["queries", "oracle_sql"]

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import cases as C
 from ..functions.dates import as_of_date, as_of_timestamp, day_name, days_between, whole_years_between
@@ -438,4 +437,4 @@ SILVER_SOURCES = {
 }
 
 __all__ = [n for n in dir() if n.startswith("build_")] + ["UNIQUE_KEYS", "SILVER_BUILDERS",
-                                                         "SILVER_SOURCES", "cdc_filter", "T"]
+                                                         "SILVER_SOURCES", "cdc_filter"]

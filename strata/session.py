@@ -79,10 +79,5 @@ def read_parquet_or_none(spark: SparkSession, path: str):
         return None
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local checks in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
 __all__ = ["get_session", "checkpoint_dir", "scratch_path", "read_parquet_or_none",
-           "local_path", "DEFAULT_CONF"]
+           "DEFAULT_CONF"]

@@ -176,3 +176,33 @@ def test_orphan_count_preaggregates(spark):
     parent = spark.createDataFrame([("a",)], "pk string")
     r = orphan_count(child, "fk", parent, "pk").first()
     assert (r.total, r.orphans) == (53, 3)
+
+
+def test_upsert_partitions_rewrites_only_touched(spark, tmp_root):
+    import glob
+    import os
+    from strata.operators import upsert_partitions
+    path = f"{tmp_root}/facts"
+    first = spark.createDataFrame([(1, "a", "2025-01-01"), (2, "b", "2025-01-01"), (3, "c", "2025-01-02"),
+                                   (4, "d", "2025-01-03")], "k int, v string, day string")
+    upsert_partitions(spark, path, first, ["k"], ["day"])
+    untouched = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/day=2025-01-0[23]/*.parquet")}
+    batch = spark.createDataFrame([(2, "B", "2025-01-01"), (5, "e", "2025-01-01")], "k int, v string, day string")
+    out = upsert_partitions(spark, path, batch, ["k"], ["day"])
+    assert rows(out, "k", "v", "day") == [(1, "a", "2025-01-01"), (2, "B", "2025-01-01"),
+                                          (3, "c", "2025-01-02"), (4, "d", "2025-01-03"),
+                                          (5, "e", "2025-01-01")]
+    assert {f: os.path.getmtime(f) for f in glob.glob(f"{path}/day=2025-01-0[23]/*.parquet")} == untouched
+
+
+def test_upsert_partitions_prunes_at_scan(spark, tmp_root):
+    from strata.operators import upsert_partitions
+    path = f"{tmp_root}/pruned"
+    base = spark.range(100).selectExpr("id as k", "'x' as v", "cast(id % 10 as string) as day")
+    upsert_partitions(spark, path, base, ["k"], ["day"])
+    stored = spark.read.schema(base.schema).parquet(path)
+    plan = stored.filter("day = '3'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    batch = spark.createDataFrame([(3, "y", "3")], "k long, v string, day string")
+    out = upsert_partitions(spark, path, batch, ["k"], ["day"])
+    assert out.count() == 100 and out.filter("v = 'y'").count() == 1
