@@ -17,15 +17,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators.incremental import VersionedTable, upsert_table
+from ..operators.incremental import VersionedTable, upsert_partitions, upsert_table
 
 
 def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType,
                       transform: Callable[[DataFrame], DataFrame], table_path: str,
                       keys: Sequence[str], checkpoint_location: str,
                       file_glob: str | None = None, max_files_per_trigger: int | None = None,
-                      collapse_order: Sequence | None = None) -> DataFrame | None:
-    """Process every unread file under ``source_dir`` and return the merged table."""
+                      collapse_order: Sequence | None = None,
+                      partition_by: Sequence[str] = ()) -> DataFrame | None:
+    """Process every unread file under ``source_dir`` and return the merged table.
+
+    ``partition_by`` stores the table partitioned and merges each micro-batch
+    into the partitions it touches only (``upsert_partitions``); without it the
+    table is a versioned whole-table rewrite (``upsert_table``).
+    """
     reader = spark.readStream.schema(schema)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
@@ -36,11 +42,19 @@ def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType
     def merge(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        upsert_table(spark, table_path, transform(batch), keys, collapse_order=collapse_order)
+        rows = transform(batch)
+        if partition_by:
+            upsert_partitions(spark, table_path, rows, keys, partition_by,
+                              collapse_order=collapse_order)
+        else:
+            upsert_table(spark, table_path, rows, keys, collapse_order=collapse_order)
 
     q = (stream.writeStream.foreachBatch(merge)
          .option("checkpointLocation", checkpoint_location)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
+    if partition_by:
+        from ..session import read_parquet_or_none
+        return read_parquet_or_none(spark, table_path)
     return VersionedTable(spark, table_path).read()

@@ -20,3 +20,15 @@ def test_available_now_runs_resume_and_merge(spark, tmp_root):
     out = run_available_now(spark, src + "/*", spark.createDataFrame([], schema).schema, clean,
                             table, ["k"], ckpt)
     assert out.count() == 3
+
+
+def test_available_now_partitioned_table(spark, tmp_root):
+    src, table, ckpt = f"{tmp_root}/in", f"{tmp_root}/table", f"{tmp_root}/ckpt"
+    schema = "k int, v string, day string"
+    spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2")], schema).write.parquet(f"{src}/f1")
+    st = spark.createDataFrame([], schema).schema
+    run_available_now(spark, src + "/*", st, lambda df: df, table, ["k"], ckpt, partition_by=["day"])
+    spark.createDataFrame([(2, "bb", "d2"), (3, "c", "d1")], schema).write.parquet(f"{src}/f2")
+    out = run_available_now(spark, src + "/*", st, lambda df: df, table, ["k"], ckpt,
+                            partition_by=["day"])
+    assert sorted(map(tuple, out.select("k", "v").collect())) == [(1, "a"), (2, "bb"), (3, "c")]
