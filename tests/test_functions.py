@@ -118,3 +118,23 @@ def test_whole_years(spark):
                                 (dt.date(2000, 1, 1), dt.date(2010, 1, 1))], "a date, b date")
     got = [r[0] for r in df.select(dates.whole_years_between("a", "b")).collect()]
     assert got == [0, 10]
+
+
+def test_nan_to_null_and_casts(spark):
+    from strata.functions import casts
+    df = spark.createDataFrame([(float("nan"), "5.5", "2025-01-01 10:00:00"), (1.5, "7", "bad")],
+                               "x double, s string, t string")
+    got = df.select(casts.nan_to_null("x").alias("x"), casts.try_cast("s", "int").alias("i"),
+                    casts.lenient_date("t").alias("d")).collect()
+    assert [(r.x, r.i) for r in got] == [(None, None), (1.5, 7)]
+    assert got[0].d == dt.date(2025, 1, 1) and got[1].d is None
+
+
+def test_write_landing_skips_empty(spark, tmp_root):
+    from strata.sources import write_landing
+    empty = spark.createDataFrame([], "a string")
+    assert write_landing(empty, tmp_root, "sf_x") is False
+    df = spark.createDataFrame([("b",), ("a",)], "a string")
+    assert write_landing(df, tmp_root, "sf_y", order_by=["a"]) is True
+    got = spark.read.parquet(f"{tmp_root}/landing_zone/sf_y").orderBy("bronze_id").collect()
+    assert [(r.bronze_id, r.a) for r in got] == [(1, "a"), (2, "b")]

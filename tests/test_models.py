@@ -134,3 +134,16 @@ def test_incremental_second_run_upserts_changed_and_new(spark):
     empty = first.limit(0)
     assert S.build_silver_staff(second_bronze, as_of=AS_OF, target=empty,
                                 watermark_rule="load").count() == 0
+
+
+def test_optional_cdc_filter_and_enrichment(spark):
+    from pyspark.sql import functions as F
+    b = X.customers(spark).withColumn(
+        "validation_status", F.when(F.col("bronze_id") == 3, "VALID").otherwise("PENDING"))
+    assert S.build_silver_customers(b, as_of=AS_OF, status_filter=True).count() == 1
+    # the enrichment join multiplies gate rows when a customer id has two systems
+    cust = S.build_silver_customers(X.customers(spark), as_of=AS_OF)
+    two = cust.unionByName(cust.withColumn("source_system", F.lit("APP")))
+    plain = S.build_silver_gate_events(X.gates(spark), as_of=AS_OF).count()
+    joined = S.build_silver_gate_events(X.gates(spark), as_of=AS_OF, enrich_customers=two).count()
+    assert (plain, joined) == (3, 5)
