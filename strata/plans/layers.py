@@ -14,9 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.incremental import VersionedTable, upsert_table
-from ..operators.quality import run_suite
-from ..sources.bronze import tag_union
-from ..sources.landing import ENTITIES, layer_path, read_landing
+from ..operators.quality import Relation, ri_report, run_suite
+from ..sources.bronze import scrub_null_text, tag_union
+from ..sources.landing import ENTITIES, layer_path, read_landing, write_landing
 from ..sources.sinks import write_table
 from . import gold as G
 from . import silver as S
@@ -24,6 +24,47 @@ from .warehouse import gold_suite
 
 BRONZE_MODELS = [f"raw_{e}" for e in ENTITIES]
 
+# Foreign keys checked before a load
+# (child entity, column, parent entity, column, NULL allowed).
+LANDING_RELATIONS = [
+    ("transactions", "customer_id", "customers", "source_customer_id", True),
+    ("transactions", "product_code", "products", "product_code", False),
+    ("transactions", "cashier_id", "staff", "source_employee_id", False),
+    ("gate_events", "customer_id", "customers", "source_customer_id", False),
+    ("ride_operations", "lead_operator_id", "staff", "source_employee_id", False),
+    ("feedback", "customer_id", "customers", "source_customer_id", False),
+]
+
+# Key columns scrubbed of null-like text before a load.
+SCRUB_COLUMNS = ("customer_id", "source_customer_id", "cashier_id", "lead_operator_id",
+                 "product_code", "source_employee_id")
+
+
+def landing_ri_report(frames: dict[str, DataFrame]) -> DataFrame:
+    """RI report over the six landing relations of one park."""
+    return ri_report([
+        Relation(f"{c}.{fk} -> {p}.{pk}", frames[c], fk, frames[p], pk, nullable)
+        for c, fk, p, pk, nullable in LANDING_RELATIONS if c in frames and p in frames])
+
+
+def load_landing(spark: SparkSession, root: str, park: str, frames: dict[str, DataFrame],
+                 require_integrity: bool = True) -> DataFrame:
+    """Scrub key columns, check referential integrity, then write each
+    ``<park>_<entity>`` landing table (``bronze_id`` first; empty frames skipped).
+
+    With ``require_integrity`` nothing is written when a relation fails.
+    Returns the RI report.
+    """
+    clean = {e: scrub_null_text(df, [c for c in SCRUB_COLUMNS if c in df.columns])
+             for e, df in frames.items()}
+    report = landing_ri_report(clean)
+    failed = report.filter("status = 'FAIL'").limit(1).count() > 0
+    if require_integrity and failed:
+        return report
+    for entity, df in clean.items():
+        write_landing(df, root, f"{park}_{entity}", order_by=[df.columns[0]])
+    return report
+
 
 def build_bronze(spark: SparkSession, root: str, entity: str,
                  parks: Sequence[str] = ("sf", "aq"), tag_col: str = "source_region") -> DataFrame:
