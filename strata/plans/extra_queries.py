@@ -433,6 +433,47 @@ def _ri_sql() -> str:
             f"nullable, CASE WHEN orphans = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({body})")
 
 
+_LANDING_ENTITIES = {"customers": "raw_customers", "transactions": "raw_transactions",
+                     "products": "raw_products", "staff": "raw_staff",
+                     "gate_events": "raw_gate_events", "ride_operations": "raw_ride_operations",
+                     "feedback": "raw_feedback"}
+
+
+def dq_landing_ri_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q14 before a load: key columns scrubbed, six relations over the landing
+    tables (padded codes are orphans until silver trims them)."""
+    from ..sources.bronze import scrub_null_text as scrub
+    from .layers import SCRUB_COLUMNS, landing_ri_report
+    frames = {}
+    for e, name in _LANDING_ENTITIES.items():
+        df = D.landing(spark, sf_dir, name)
+        frames[e] = scrub(df, [c for c in SCRUB_COLUMNS if c in df.columns])
+    return landing_ri_report(frames)
+
+
+def _landing_ri_sql() -> str:
+    from .layers import LANDING_RELATIONS, SCRUB_COLUMNS
+
+    def col(entity, c):
+        x = c
+        if c in SCRUB_COLUMNS:
+            x = f"CASE WHEN {c} IN ('None', 'nan', 'NaN') OR lower({c}) = 'null' THEN NULL ELSE {c} END"
+        return f"(SELECT {x} AS v FROM ({D.landing_sql(_LANDING_ENTITIES[entity])}))"
+
+    rows = []
+    for c, fk, p, pk, nullable in LANDING_RELATIONS:
+        ch = col(c, fk)
+        if nullable:
+            ch = f"(SELECT v FROM {ch} WHERE v IS NOT NULL AND v <> 'None')"
+        pa = col(p, pk)
+        rows.append(f"SELECT '{c}.{fk} -> {p}.{pk}' AS label, (SELECT count(*) FROM {ch}) AS total, "
+                    f"(SELECT count(*) FROM {ch} x WHERE NOT EXISTS (SELECT 1 FROM {pa} y "
+                    f"WHERE y.v = x.v)) AS orphans, {str(nullable).upper()} AS nullable")
+    body = "\nUNION ALL ".join(rows)
+    return (f"SELECT label, total, orphans, orphans / greatest(total, 1) * 100.0 AS orphan_pct, "
+            f"nullable, CASE WHEN orphans = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({body})")
+
+
 def dq_duplicate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7 on raw lines: (order, line number) pairs held by more than one row."""
     return Q.check_unique(D.read(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
@@ -494,6 +535,7 @@ def queries() -> dict:
         "dq_late_arriving_dimensions": dq_late_arriving,
         "dq_inactive_staff_in_facts": dq_inactive_staff,
         "dq_ri_report": dq_ri_report,
+        "dq_landing_ri_report": dq_landing_ri_report,
         "dq_duplicate_lines": dq_duplicate_lines,
         "dq_gate_event_types": dq_gate_event_types,
         "dq_feedback_score_range": dq_feedback_score_range,
@@ -517,6 +559,7 @@ def oracle_sql() -> dict:
         "dq_late_arriving_dimensions": _late_sql(),
         "dq_inactive_staff_in_facts": _inactive_sql(),
         "dq_ri_report": _ri_sql(),
+        "dq_landing_ri_report": _landing_ri_sql(),
         "dq_duplicate_lines": DUP_LINES_SQL,
         "dq_gate_event_types": _event_types_sql(),
         "dq_feedback_score_range": _score_range_sql(),
