@@ -53,7 +53,7 @@ def as_of_timestamp(as_of=None) -> Column:
     return F.lit(str(as_of)).cast("timestamp")
 
 
-# Calendar range of the reference warehouse and its weekend.
+# Calendar range of the park warehouse and its weekend (Friday, Saturday).
 DEFAULT_SPINE_START = "2025-01-01"
 DEFAULT_SPINE_END = "2026-12-31"
 WEEKEND_DAYS = ("Friday", "Saturday")
