@@ -138,7 +138,7 @@ def inactive_dim_rows(facts: Sequence[tuple[str, DataFrame, str, str]], dim: Dat
         F.col(dim_key).alias("__dk"), *[F.col(c) for c in carry])
     out = None
     for label, fact, key_col, fk in facts:
-        j = (fact.select(F.col(key_col).alias("fact_key"), F.col(fk).alias(fk if fk == dim_key else fk))
+        j = (fact.select(F.col(key_col).alias("fact_key"), F.col(fk))
                  .join(bad, F.col(fk) == F.col("__dk"), "inner")
                  .select(F.lit(label).alias("fact_table"), "fact_key",
                          F.col(fk).alias(dim_key), *carry))

@@ -50,6 +50,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def scale_conf(largest_shuffle_bytes: int, total_cores: int,
+               target_partition_bytes: int = 192 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle and scan sizing for a given data volume.
+
+    ``spark.sql.shuffle.partitions`` = enough partitions for about
+    ``target_partition_bytes`` each of the largest exchange, and at least two
+    waves of tasks; AQE coalesces partitions that turn out small and splits
+    skewed ones.  Example: 30 TB of shuffled fact rows on 8,000 cores gives
+    163,840 partitions of ~192 MB.
+    """
+    parts = max(2 * total_cores, -(-largest_shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and versioned scratch tables.
 
@@ -80,4 +100,4 @@ def read_parquet_or_none(spark: SparkSession, path: str):
 
 
 __all__ = ["get_session", "checkpoint_dir", "scratch_path", "read_parquet_or_none",
-           "DEFAULT_CONF"]
+           "scale_conf", "DEFAULT_CONF"]

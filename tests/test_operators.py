@@ -206,3 +206,10 @@ def test_upsert_partitions_prunes_at_scan(spark, tmp_root):
     batch = spark.createDataFrame([(3, "y", "3")], "k long, v string, day string")
     out = upsert_partitions(spark, path, batch, ["k"], ["day"])
     assert out.count() == 100 and out.filter("v = 'y'").count() == 1
+
+
+def test_scale_conf_sizes_partitions():
+    from strata.session import scale_conf
+    c = scale_conf(30 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 163840
+    assert int(scale_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"]) == 16
