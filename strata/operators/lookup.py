@@ -5,8 +5,9 @@ is the INNER join that drops orphans, ``required=False`` the LEFT join that
 keeps a NULL foreign key.  Broadcasting is decided as follows:
 
 * ``max_rows=<n>``: the dimension is broadcast only after a check that it has
-  at most ``n`` rows (``limit(n + 1).count()``, reads at most n + 1 rows);
-  beyond the bound the join stays a shuffle join.
+  at most ``n`` rows (``limit(n + 1).count()``, stops past the bound; the
+  small result is cached for the broadcast); beyond the bound the join stays
+  a shuffle join.
 * ``max_rows=None``: no hint; Catalyst broadcasts from its size estimate and
   AQE re-plans from the real shuffle sizes (``autoBroadcastJoinThreshold``),
   otherwise a sort-merge join, with skewed partitions split by AQE.
@@ -20,10 +21,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def bounded_broadcast(df: DataFrame, max_rows: int, cache: bool = True) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The probe is ``limit(max_rows + 1).count()``: it stops once the bound is
+    passed.  With ``cache`` the candidate is persisted first, so a small
+    derived dimension (an aggregate of a large table) is computed once, by
+    the probe, and the broadcast reuses it; a large one is released again.
+    """
+    from pyspark import StorageLevel
+    probe = df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
+    n = probe.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(probe)
+    if cache:
+        probe.unpersist()
+    return df
 
 
 def _pairs(on) -> list[tuple[str, str]]:

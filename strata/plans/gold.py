@@ -5,14 +5,15 @@ joins (orphans dropped), optional keys LEFT joins (NULL key kept).  Join
 strategy per dimension:
 
 * date: a calendar whose row count is fixed by its two parameters -> broadcast.
-* park: a small source table -> broadcast after a row-count check
-  (``SMALL_DIM_ROWS``, reads at most that many rows), else a shuffle join.
-* gate, ride, weather (aggregates of a silver table), customer, product,
-  staff: no hint.  A count before the join would compute an aggregate twice;
-  instead AQE measures the dimension's real size when its stage finishes and
-  broadcasts it only under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-  (read from storage, Catalyst uses the file size the same way); otherwise a
-  sort-merge join with AQE skew splitting.
+* park, gate, ride, weather: small by nature (a source table, or aggregates
+  to one row per gate / ride / weather code) -> broadcast after a bounded
+  row-count probe (``SMALL_DIM_ROWS``; the probe caches the small result so
+  it is computed once), else a shuffle join.  Planning the broadcast up front
+  keeps the fact from being shuffled for these joins at all.
+* customer, product, staff: grow with the business -> no hint; Catalyst
+  broadcasts them from size estimates and AQE from measured sizes
+  (``spark.sql.adaptive.autoBroadcastJoinThreshold``), otherwise a sort-merge
+  join with AQE skew splitting.
 
 Each dimension is projected to its key and the taken columns before the join,
 so only those columns are shuffled or broadcast.
@@ -144,7 +145,8 @@ def build_fact_gate_event(silver_gate_events: DataFrame, dim_date: DataFrame,
     g = silver_gate_events.filter(F.col("event_date").isNotNull())
     g = _date(g, dim_date, "event_date")
     g = _park(g, dim_park)
-    g = lookup(g, dim_gate, ["gate_id", "park_key"], ["gate_key"], required=True)
+    g = lookup(g, dim_gate, ["gate_id", "park_key"], ["gate_key"], required=True,
+               max_rows=SMALL_DIM_ROWS)
     g = lookup(g, dim_customer, "source_customer_id", ["customer_key"], required=False)
     return g.select(
         F.col("gate_event_sk").alias("gate_event_key"), "date_key", "park_key",
@@ -160,7 +162,7 @@ def build_fact_ride_operations(silver_rides: DataFrame, dim_date: DataFrame,
     r = silver_rides.filter(F.col("poll_date").isNotNull())
     r = _date(r, dim_date, "poll_date")
     r = _park(r, dim_park)
-    r = lookup(r, dim_ride, "ride_code", ["ride_key"], required=True)
+    r = lookup(r, dim_ride, "ride_code", ["ride_key"], required=True, max_rows=SMALL_DIM_ROWS)
     r = lookup(r, dim_staff, {"lead_operator_id": "source_employee_id"}, ["staff_key"],
                required=False)
     return r.select(
@@ -197,7 +199,8 @@ def build_fact_weather_observation(silver_weather: DataFrame, dim_date: DataFram
     ).filter(F.col("weather_date").isNotNull() & F.col("weather_code").isNotNull())
     w = _date(w, dim_date, "weather_date")
     w = _park(w, dim_park)
-    w = lookup(w, dim_weather, "weather_code", ["weather_key"], required=True)
+    w = lookup(w, dim_weather, "weather_code", ["weather_key"], required=True,
+               max_rows=SMALL_DIM_ROWS)
     return w.select(
         F.col("weather_sk").alias("weather_obs_key"), "date_key", "park_key", "weather_key",
         F.col("weather_timestamp").alias("poll_datetime"), "temperature_c", "feels_like_c",
