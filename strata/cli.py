@@ -35,7 +35,8 @@ def main(argv=None) -> int:
                             park_prefixes=[p[1].lower() for p in parks])
     else:
         tables = {n: spark.read.parquet(f"{args.root.rstrip('/')}/gold/{n}") for n in GOLD_MODELS}
-        report = run_suite(tables, gold_suite(int(start.replace("-", "")), int(end.replace("-", ""))))
+        report = run_suite(tables, gold_suite(int(start.replace("-", "")), int(end.replace("-", "")),
+                                              n_parks=len(parks)))
     bad = report.filter("status != 'PASS'").collect()
     for r in bad:
         print(f"{r.status:5s} {r.model:28s} {r.test:50s} {r.failures}")

@@ -122,8 +122,4 @@ def run_layers(spark: SparkSession, root: str, parks_dim: Sequence[tuple[int, st
         silver["silver_weather"], g["dim_date"], g["dim_park"], g["dim_weather"], as_of))
 
     lo, hi = (int(x.replace("-", "")) for x in calendar)
-    suite = gold_suite(lo, hi)
-    suite["dim_park"] = [c for c in suite["dim_park"] if c.kind != "row_count"]
-    from ..operators.quality import Check
-    suite["dim_park"].append(Check("row_count", expected=len(parks_dim)))
-    return run_suite(g, suite)
+    return run_suite(g, gold_suite(lo, hi, n_parks=len(parks_dim)))

@@ -151,8 +151,9 @@ GOLD_MODELS = GOLD_DIMS + GOLD_FACTS
 _UUID = "RLIKE '^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$'"
 
 
-def gold_suite(date_min: int, date_max: int) -> dict[str, list[Check]]:
-    """The declared tests of the gold layer (date range from the calendar)."""
+def gold_suite(date_min: int, date_max: int, n_parks: int = 5) -> dict[str, list[Check]]:
+    """The declared tests of the gold layer (date range from the calendar,
+    ``n_parks`` rows expected in the park dimension; the driver data has 5)."""
     nn = lambda c: Check("not_null", c)
     un = lambda c: Check("unique", c)
     fk = lambda c, p, pc: Check("relationships", c, parent=p, parent_column=pc)
@@ -166,7 +167,7 @@ def gold_suite(date_min: int, date_max: int) -> dict[str, list[Check]]:
                      un("full_date"), nn("full_date"), un("date_iso"), nn("date_iso"),
                      nn("is_weekend"), Check("accepted_values", "is_weekend", values=(True, False))],
         "dim_park": [un("park_key"), nn("park_key"), un("park_code"), nn("park_code"),
-                     Check("row_count", expected=5)],
+                     Check("row_count", expected=n_parks)],
         "dim_customer": [uuid("customer_key"), Check("at_least_one", "customer_key"),
                          un("customer_key"), nn("customer_key"), un("source_customer_id"),
                          nn("source_customer_id")],

@@ -33,6 +33,7 @@ def test_run_layers_two_parks_and_rerun(spark, tmp_root):
     assert report[("dim_park", "row_count()")].failures == 0
     assert report[("fact_transaction", "relationships(product_key)")].failures == 0
     assert report[("dim_customer", "unique(source_customer_id)")].failures == 0
+    assert report[("dim_product", "not_null(list_price)")].failures == 2
     for name in BRONZE_MODELS:
         assert spark.read.parquet(f"{tmp_root}/bronze/{name}").select("source_region").distinct().count() == 2
     ft = spark.read.parquet(f"{tmp_root}/gold/fact_transaction")
@@ -43,3 +44,8 @@ def test_run_layers_two_parks_and_rerun(spark, tmp_root):
     # a second run sees no new rows: silver is unchanged, gold rebuilt the same
     run_layers(spark, tmp_root, X.PARKS, as_of="2026-01-01 00:00:00")
     assert spark.read.parquet(f"{tmp_root}/gold/fact_transaction").count() == first
+    # the command line re-runs the checks on the stored gold tables
+    from strata.cli import main
+    parks = '[[1, "SF", "Park one"], [2, "AQ", "Park two"]]'
+    # the fixtures hold one product without a price in each park: error status
+    assert main(["test", "--root", tmp_root, "--parks", parks]) == 1
