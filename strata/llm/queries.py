@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash
+from . import mixing, secrets, sentencepieces, simhash, token_counts, token_files
 
 QUERIES = {
+    "op1_token_files": token_files.query,
+    "op2_sentencepiece": sentencepieces.query,
+    "op4_secret_scan": secrets.query,
     "op5_mix_sources": mixing.query,
     "op6_simhash_near_dedup": simhash.query,
+    "op7_token_counts": token_counts.query,
 }
 
 ORACLES = {
