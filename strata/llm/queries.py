@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, quality_rules, secrets, sentencepieces, simhash, token_counts, token_files
+from . import line_dedup, mixing, quality_rules, secrets, sentencepieces, simhash, token_counts, token_files
 
 QUERIES = {
     "op1_token_files": token_files.query,
     "op2_sentencepiece": sentencepieces.query,
+    "op3_line_dedup": line_dedup.query,
     "op4_secret_scan": secrets.query,
     "op5_mix_sources": mixing.query,
     "op6_simhash_near_dedup": simhash.query,
