@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, quality_rules, secrets, sentencepieces, simhash, token_counts, token_files
+from . import embedding_dedup, line_dedup, mixing, quality_rules, secrets, sentencepieces, simhash, token_counts, token_files
 
 QUERIES = {
     "op1_token_files": token_files.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_mix_sources": mixing.query,
     "op6_simhash_near_dedup": simhash.query,
     "op7_token_counts": token_counts.query,
+    "op8_embedding_near_dedup": embedding_dedup.query,
     "op10_quality_rules": quality_rules.query,
 }
 
