@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, line_dedup, mixing, quality_rules, secrets, sentencepieces, simhash, token_counts, token_files
+from . import embedding_dedup, line_dedup, mixing, quality_rules, repeats, secrets, sentencepieces, simhash, token_counts, token_files
 
 QUERIES = {
     "op1_token_files": token_files.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_simhash_near_dedup": simhash.query,
     "op7_token_counts": token_counts.query,
     "op8_embedding_near_dedup": embedding_dedup.query,
+    "op9_repeated_strings": repeats.query,
     "op10_quality_rules": quality_rules.query,
 }
 
