@@ -2,7 +2,7 @@
 
 ``run`` builds bronze, merges silver and rebuilds gold from the landing
 tables under ``<root>/landing_zone`` and prints the failing checks; ``test``
-only runs the checks on the stored gold tables.
+only runs the checks (bronze, gold and singular tests) on the stored tables.
 """
 
 from __future__ import annotations
@@ -22,9 +22,7 @@ def main(argv=None) -> int:
     ap.add_argument("--as-of", default=None)
     args = ap.parse_args(argv)
 
-    from .operators.quality import run_suite
-    from .plans.layers import run_layers
-    from .plans.warehouse import GOLD_MODELS, gold_suite
+    from .plans.layers import check_layers, run_layers, stored_layers
     from .session import get_session
 
     spark = get_session()
@@ -34,9 +32,7 @@ def main(argv=None) -> int:
         report = run_layers(spark, args.root, parks, as_of=args.as_of, calendar=(start, end),
                             park_prefixes=[p[1].lower() for p in parks])
     else:
-        tables = {n: spark.read.parquet(f"{args.root.rstrip('/')}/gold/{n}") for n in GOLD_MODELS}
-        report = run_suite(tables, gold_suite(int(start.replace("-", "")), int(end.replace("-", "")),
-                                              n_parks=len(parks)))
+        report = check_layers(*stored_layers(spark, args.root), parks, (start, end))
     bad = report.filter("status != 'PASS'").collect()
     for r in bad:
         print(f"{r.status:5s} {r.model:28s} {r.test:50s} {r.failures}")

@@ -31,5 +31,6 @@ def lenient_date(c) -> Column:
 
 
 def nan_to_null(c) -> Column:
+    """A float or double column with NaN as NULL, its type kept."""
     x = _c(c)
-    return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
+    return F.when(~F.isnan(x), x)

@@ -1,13 +1,15 @@
 """Keyed incremental loads: high-watermark slice, schema sync, upsert.
 
-The stored table is a directory of immutable versions plus a one-row pointer
-(see ``VersionedTable``): an upsert writes the merged rows to a new version
-and only then moves the pointer, so a job that dies half-way leaves the last
-good version readable, and a path is never overwritten while it is read.
+The stored table is a directory of immutable versions plus one commit record
+per version (see ``VersionedTable``): an upsert writes the merged rows to a new
+folder and only then adds its record.  Nothing that a reader may see is ever
+overwritten, so a job that dies between any two steps leaves the last good
+version readable.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,22 +34,39 @@ def watermark(target: DataFrame, wm_col: str) -> Column:
     return target.agg(F.max(F.col(wm_col)).cast("timestamp").alias("wm")).scalar()
 
 
-def incremental_slice(df: DataFrame, ts_col: str, target: DataFrame | None,
-                      wm_col: str, empty_target: str = "all") -> DataFrame:
+def incremental_slice(df: DataFrame, ts_col: str, target: DataFrame | None, wm_col: str,
+                      empty_target: str = "all", by: str | None = None,
+                      inclusive: bool = False) -> DataFrame:
     """Rows newer than the target's high watermark.
 
     ``target=None`` is a first run: everything.  With an existing but empty
     target ``empty_target="all"`` compares with the epoch (all rows), while
     ``"none"`` keeps the plain SQL rule ``ts > NULL``, which selects nothing.
-    The watermark is one scalar subquery, evaluated once and compared in the
-    scan's filter, not joined per row.
+
+    ``by`` keeps one watermark per value of that column (compared trimmed and
+    in upper case), so a source that lands late is not cut off by the others;
+    a value that the target does not hold yet has no watermark.  ``inclusive``
+    takes rows of the watermark's own instant again, for targets whose merge
+    is idempotent: a loader may stamp several batches with one instant.
+
+    Without ``by`` the watermark is one scalar subquery, compared in the scan's
+    filter; with it, a few rows (one per source) that are joined.
     """
     if target is None:
         return df
-    wm = watermark(target, wm_col)
+    ts = _ts(ts_col, df)
+    if by is None:
+        wm = watermark(target, wm_col)
+        if empty_target == "all":
+            wm = F.coalesce(wm, F.lit(EPOCH).cast("timestamp"))
+        return df.filter(ts >= wm if inclusive else ts > wm)
+    key = F.upper(F.trim(F.col(by).cast("string")))
+    marks = target.groupBy(key.alias("__by")).agg(F.max(F.col(wm_col).cast("timestamp")).alias("__wm"))
+    out = df.withColumn("__key", key).join(marks, F.col("__key").eqNullSafe(F.col("__by")), "left")
+    wm = F.col("__wm")
     if empty_target == "all":
         wm = F.coalesce(wm, F.lit(EPOCH).cast("timestamp"))
-    return df.filter(_ts(ts_col, df) > wm)
+    return out.filter(ts >= wm if inclusive else ts > wm).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def sync_columns(target: DataFrame, schema: T.StructType) -> DataFrame:
@@ -71,7 +90,8 @@ def upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str],
     ANTI join on the keys (only the key columns of the batch are shuffled, or
     broadcast by AQE when the batch is small) and the batch is appended.
     ``collapse_order`` first reduces a batch that repeats a key to its latest
-    row; without it the caller guarantees unique keys.
+    row; without it the caller guarantees unique keys.  Key columns compare
+    NULL-safe, so loading a row again replaces it whatever its key holds.
     """
     if collapse_order is not None:
         updates = latest_per_key(updates, keys, collapse_order)
@@ -84,103 +104,140 @@ def upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str],
     batch_keys = updates.select(*keys)
     cond = None
     for k in keys:
-        e = target[k] == batch_keys[k]
+        e = target[k].eqNullSafe(batch_keys[k])
         cond = e if cond is None else (cond & e)
     kept = target.join(batch_keys, cond, "left_anti")
     return kept.unionByName(updates)
 
 
 class VersionedTable:
-    """Parquet versions ``<path>/v<n>`` with a pointer ``<path>/_current``."""
+    """Parquet versions in ``<path>/data`` and one commit record each in ``<path>/log``.
+
+    A version's folder has a name of its own and is never written again; its
+    record (one row: version, folder) is written last, under the version's
+    number and without overwriting, so of two writers one fails.  The newest
+    record names the current version.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def current_version(self) -> int | None:
+    def _log(self) -> DataFrame | None:
         from ..session import read_parquet_or_none
-        p = read_parquet_or_none(self.spark, f"{self.path}/_current")
-        if p is None:
-            return None
-        row = p.agg(F.max("version")).first()
-        return None if row is None else row[0]
+        log = read_parquet_or_none(self.spark, f"{self.path}/log/*")
+        return log if log is not None and "version" in log.columns else None
 
-    def read(self) -> DataFrame | None:
-        v = self.current_version()
-        return None if v is None else self.spark.read.parquet(f"{self.path}/v{v}")
+    def _current(self):
+        log = self._log()
+        return None if log is None else log.orderBy(F.desc("version")).first()
+
+    def current_version(self) -> int | None:
+        row = self._current()
+        return None if row is None else row["version"]
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The current version, or an older one that is still kept."""
+        row = self._current() if version is None else self._log().where(F.col("version") == version).first()
+        return None if row is None else self.spark.read.parquet(f"{self.path}/data/{row['folder']}")
 
     def commit(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
         v = (self.current_version() or 0) + 1
-        w = df.write.mode("overwrite")
+        folder = f"v{v}-{uuid.uuid4().hex[:12]}"
+        w = df.write.mode("error")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.path}/v{v}")
-        (self.spark.createDataFrame([(v,)], "version long")
-             .coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_current"))
+        w.parquet(f"{self.path}/data/{folder}")
+        self._publish(v, folder)
         return v
 
+    def _publish(self, v: int, folder: str) -> None:
+        (self.spark.createDataFrame([(v, folder)], "version long, folder string")
+             .coalesce(1).write.mode("error").parquet(f"{self.path}/log/{v:012d}"))
+
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` versions; the deleted ones.  For
+        times when no reader still uses them."""
+        from ..session import delete_path
+        log = self._log()
+        rows = [] if log is None else sorted(map(tuple, log.select("version", "folder").collect()))
+        gone = rows[:-keep] if keep > 0 else []
+        for v, folder in gone:  # the record first: it never names a folder that is gone
+            delete_path(self.spark, f"{self.path}/log/{v:012d}")
+            delete_path(self.spark, f"{self.path}/data/{folder}")
+        return [v for v, _ in gone]
+
+
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise ``ValueError`` when two rows of the batch have one key: which of
+    them a merge would keep is not defined."""
+    twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"the batch repeats keys {list(keys)}, e.g. {[tuple(r)[:-1] for r in twice]}")
+
 
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
                  collapse_order: Sequence | None = None,
                  partition_by: Sequence[str] = ()) -> DataFrame:
-    """Upsert ``updates`` into the versioned table at ``path``; return the new version."""
+    """Upsert ``updates`` into the versioned table at ``path``; return the new version.
+
+    A batch that repeats a key is collapsed by ``collapse_order``, or rejected
+    without it.  An empty batch leaves the stored version as it is.
+    """
     table = VersionedTable(spark, path)
-    merged = upsert(table.read(), updates, keys, collapse_order=collapse_order)
-    v = table.commit(merged, partition_by)
-    return spark.read.parquet(f"{table.path}/v{v}")
+    stored = table.read()
+    if collapse_order is not None:
+        updates = latest_per_key(updates, keys, collapse_order)
+    else:
+        require_unique(updates, keys)
+    if stored is not None and updates.isEmpty():
+        return stored
+    table.commit(upsert(stored, updates, keys), partition_by)
+    return table.read()
 
 
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
                       partition_by: Sequence[str], collapse_order: Sequence | None = None,
-                      staging: str | None = None, max_partition_filter: int = 10_000) -> DataFrame:
+                      staging: str | None = None) -> DataFrame:
     """Keyed upsert into a partitioned parquet table, rewriting only the
     partitions that the batch touches.
 
     A key's partition value must not change between loads (partition by an
-    attribute fixed at creation, such as the event date).  Steps: the batch's
-    distinct partition values (small: one row per touched partition) select
-    the stored rows.  Up to ``max_partition_filter`` touched partitions (a
-    bound on partition values, not on rows; checked with ``limit(n + 1)``) become
-    a static partition filter, so the scan lists and reads only those folders;
-    beyond it a semi join on the partition columns selects them.  Those rows are
-    merged with the
-    batch; the merged partitions are staged under ``staging`` (default: the
-    shared checkpoint folder), which cuts the lineage to the table being
-    replaced; finally they replace their partitions with a dynamic partition
-    overwrite.  If that last step fails, re-running it from the staged copy
-    gives the same table.
+    attribute fixed at creation, such as the event date); a stored key that
+    the batch moves to another partition raises ``ValueError`` before anything
+    is written.  The stored rows of the touched partitions are selected with a
+    semi join on the partition columns (dynamic partition pruning skips the
+    other folders) and merged with the batch; the result is staged under
+    ``staging`` (default: the shared checkpoint folder), which cuts the lineage
+    to the table being replaced; finally the staged partitions replace theirs
+    with a dynamic partition overwrite.  If that last step fails, running it
+    again from the staged copy gives the same table.
     """
-    from pyspark.errors import AnalysisException
-
-    from ..session import scratch_path
+    from ..session import read_parquet_or_none, scratch_path
     if collapse_order is not None:
         updates = latest_per_key(updates, keys, collapse_order)
+    else:
+        require_unique(updates, keys)
     # read with the batch's schema: partition values keep their declared
     # types instead of the types inferred from folder names
     read = lambda p: spark.read.schema(updates.schema).parquet(p)
-    try:
-        stored = read(path)
-        stored.columns  # noqa: B018  (resolves the path)
-    except AnalysisException:
-        stored = None
-    if stored is None:
+    if read_parquet_or_none(spark, path) is None:
         updates.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return read(path)
-    touched = updates.select(*partition_by).distinct()
-    values = touched.limit(max_partition_filter + 1).collect()
-    if len(values) <= max_partition_filter:
-        cond = F.lit(False)
-        for row in values:
-            one = F.lit(True)
-            for c in partition_by:
-                one = one & (F.col(c).isNull() if row[c] is None else (F.col(c) == F.lit(row[c])))
-            cond = cond | one
-        old = stored.filter(cond)
-    else:
-        old = stored.join(touched, list(partition_by), "left_semi")
+    stored = read(path)
+    new = updates.select(*keys, F.struct(*partition_by).alias("__new"))
+    moved = (stored.select(*keys, F.struct(*partition_by).alias("__old")).join(new, list(keys))
+             .where(~F.col("__old").eqNullSafe(F.col("__new"))).limit(3).collect())
+    if moved:
+        raise ValueError(f"keys change their partition, e.g. {[tuple(r)[:len(keys)] for r in moved]}")
+    touched = updates.select(*[F.col(c).alias(f"__t_{c}") for c in partition_by]).distinct()
+    cond = None
+    for c in partition_by:
+        e = stored[c].eqNullSafe(touched[f"__t_{c}"])
+        cond = e if cond is None else (cond & e)
+    old = stored.join(touched, cond, "left_semi")
     merged = upsert(old, updates.select(*stored.columns), keys, sync_schema=False)
     if staging is None:
-        import uuid
         staging = scratch_path(spark, f"upsert-staging-{uuid.uuid4().hex[:12]}")
     merged.write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
     (read(staging).select(*stored.columns).write.mode("overwrite")

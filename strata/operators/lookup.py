@@ -2,15 +2,11 @@
 
 ``lookup`` is the fact -> dimension join of a star schema: ``required=True``
 is the INNER join that drops orphans, ``required=False`` the LEFT join that
-keeps a NULL foreign key.  Broadcasting is decided as follows:
-
-* ``max_rows=<n>``: the dimension is broadcast only after a check that it has
-  at most ``n`` rows (``limit(n + 1).count()``, stops past the bound; the
-  small result is cached for the broadcast); beyond the bound the join stays
-  a shuffle join.
-* ``max_rows=None``: no hint; Catalyst broadcasts from its size estimate and
-  AQE re-plans from the real shuffle sizes (``autoBroadcastJoinThreshold``),
-  otherwise a sort-merge join, with skewed partitions split by AQE.
+keeps a NULL foreign key.  No join carries a hint: Catalyst broadcasts a
+dimension from its size estimate, AQE from the measured size
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``), and beyond that the join
+is a sort-merge join whose skewed partitions AQE splits.  Building a lookup
+runs no job and caches nothing.
 """
 
 from __future__ import annotations
@@ -21,22 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, cache: bool = True) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The probe is ``limit(max_rows + 1).count()``: it stops once the bound is
-    passed.  With ``cache`` the candidate is persisted first, so a small
-    derived dimension (an aggregate of a large table) is computed once, by
-    the probe, and the broadcast reuses it; a large one is released again.
-    """
-    from pyspark import StorageLevel
-    probe = df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
-    n = probe.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(probe)
-    if cache:
-        probe.unpersist()
-    return df
+#: Reducers over which a LEFT lookup spreads rows without a key.
+NULL_SPREAD = 64
 
 
 def _pairs(on) -> list[tuple[str, str]]:
@@ -51,13 +33,15 @@ def _pairs(on) -> list[tuple[str, str]]:
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on, take, required: bool = True,
-           max_rows: int | None = None, broadcast: bool = False, salt: int = 1,
-           salt_by: Sequence[str] | None = None) -> DataFrame:
+           salt: int = 1, salt_by: Sequence[str] | None = None) -> DataFrame:
     """Join ``dim`` to ``fact`` on ``on`` and append the ``take`` columns.
 
     ``on``: name, list of names, or ``{fact_col: dim_col}``; ``take``: list of
-    dim columns or ``{dim_col: alias}``.  ``broadcast=True`` is for dimensions
-    whose size is bounded by construction (a calendar of a fixed range).
+    dim columns or ``{dim_col: alias}``.
+
+    In a LEFT join the rows with a NULL key (anonymous customers) match
+    nothing; a second join key spreads them over ``NULL_SPREAD`` reducers
+    instead of sending them all to one.
 
     ``salt=n`` (for a shuffle join whose key is hot, when AQE skew splitting
     is not available): every dimension row is copied ``n`` times with salts
@@ -76,21 +60,28 @@ def lookup(fact: DataFrame, dim: DataFrame, on, take, required: bool = True,
         fact = fact.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt)))
         right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                                 F.lit(salt - 1).cast("long"))))
-    if broadcast:
-        right = F.broadcast(right)
-    elif max_rows is not None:
-        right = bounded_broadcast(right, max_rows)
+    if not required:
+        void = F.lit(False)
+        for f, _ in pairs:
+            void = void | F.col(f).isNull()
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(NULL_SPREAD))
+        fact = fact.withColumn("__spread", F.when(void, spread).otherwise(F.lit(0).cast("long")))
+        # always 0, but not a literal: that would be folded out of the join keys
+        zero = F.pmod(F.xxhash64(*[F.col(f"__k{i}") for i in range(len(pairs))]), F.lit(1))
+        right = right.withColumn("__zero", zero)
     cond = None
     for i, (f, _) in enumerate(pairs):
         e = fact[f] == right[f"__k{i}"]
         cond = e if cond is None else (cond & e)
     if salt > 1:
         cond = cond & (fact["__salt"] == right["__salt"])
+    if not required:
+        cond = cond & (fact["__spread"] == right["__zero"])
     out = fact.join(right, cond, "inner" if required else "left")
     drop = [f"__k{i}" for i in range(len(pairs))]
     if salt > 1:
         out = out.drop(fact["__salt"]).drop(right["__salt"])
-    return out.drop(*drop)
+    return out.drop(*drop, "__spread", "__zero")
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str | Sequence[str],

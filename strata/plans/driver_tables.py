@@ -36,7 +36,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import initcap_trim, upper_trim
-from ..sources.landing import spread_small_scan
 
 # Fixed parameters of the derivation.
 INGESTED_AT = "2024-02-01 00:00:00"
@@ -283,47 +282,40 @@ def duck_expr(e) -> str:
     return e[1] if isinstance(e, tuple) else e
 
 
-# Tables small enough to stay one split (joined by broadcast).
-_TINY = ("region", "nation")
-
-
-def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A driver table; ``spread=False`` for tables that only feed a join's
-    build side (spreading them would add a shuffle that buys nothing)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if (name in _TINY or not spread) else spread_small_scan(df)
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _geo(spark, sf_dir, key_df_col_name: str, df: DataFrame, how: str) -> DataFrame:
-    """Attach nation and region (both tiny and bounded: broadcast)."""
+    """Attach nation and region; Catalyst broadcasts them from their file sizes."""
     nation = read(spark, sf_dir, "nation")
     region = read(spark, sf_dir, "region")
-    out = df.join(F.broadcast(nation), df[key_df_col_name] == nation["n_nationkey"], how)
-    return out.join(F.broadcast(region), out["n_regionkey"] == region["r_regionkey"], how)
+    out = df.join(nation, df[key_df_col_name] == nation["n_nationkey"], how)
+    return out.join(region, out["n_regionkey"] == region["r_regionkey"], how)
 
 
 def _sources(spark: SparkSession, sf_dir: str, name: str, base: DataFrame | None = None) -> DataFrame:
     """The joined driver rows behind a landing table.  ``base`` replaces the
     first (largest) table, e.g. with a streaming micro-batch of events."""
     r = lambda t: read(spark, sf_dir, t)
-    side = lambda t: read(spark, sf_dir, t, spread=False)
     if name == "raw_customers":
         return _geo(spark, sf_dir, "c_nationkey", r("customer"), "inner")
     if name == "raw_transactions":
         li = r("lineitem")
-        o = side("orders")
-        c = side("customer").select("c_custkey", "c_nationkey")
+        o = r("orders")
+        c = r("customer").select("c_custkey", "c_nationkey")
         j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
         j = j.join(c, j["o_custkey"] == c["c_custkey"], "left")
         return _geo(spark, sf_dir, "c_nationkey", j, "left")
     if name in ("raw_gate_events", "raw_feedback", "raw_weather"):
         e = r("events") if base is None else base
-        c = side("customer").select("c_custkey", "c_nationkey")
+        c = r("customer").select("c_custkey", "c_nationkey")
         j = e.join(c, e["user_id"] == c["c_custkey"], "left")
         return _geo(spark, sf_dir, "c_nationkey", j, "left")
     if name == "raw_ride_operations":
         li = r("lineitem")
-        s = side("supplier").select("s_suppkey", "s_nationkey")
+        s = r("supplier").select("s_suppkey", "s_nationkey")
         j = li.join(s, li["l_suppkey"] == s["s_suppkey"], "left")
         return _geo(spark, sf_dir, "s_nationkey", j, "left")
     if name == "raw_products":

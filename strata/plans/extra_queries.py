@@ -6,19 +6,20 @@ over models derived from them) and has an oracle in DuckDB SQL.
 
 from __future__ import annotations
 
-import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
-from ..operators.incremental import incremental_slice, sync_columns, upsert
+from ..operators.incremental import incremental_slice, sync_columns, upsert, upsert_table
 from ..sources.bronze import card_number, rekey_tenant, scrub_null_text, split_name, tag_union, with_sales_amounts
 from ..sources.landing import with_row_id
 from . import driver_tables as D
 from . import oracle_sql as O
-from .silver import build_silver_staff, build_silver_transactions
-from .warehouse import Warehouse, decimals_to_double, gold_suite, reconciliation, run_gold_suite
+from .oracle_checks import all_checks_sql, gold_checks_sql
+from .silver import MERGE_KEYS, SILVER_BUILDERS, SILVER_SOURCES, build_silver_staff, build_silver_transactions
+from .warehouse import Warehouse, decimals_to_double, reconciliation, run_all_checks, run_gold_suite
 
 # Fixed parameters of the two-batch incremental load: rows ingested up to the
 # cutoff form the first load, the rest arrive in the second run.
@@ -145,65 +146,114 @@ FROM (
 # ------------------------------------------------------------- incremental loads
 
 def upsert_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 + S5: first load up to the cutoff, then an incremental run that slices
-    the bronze table above the stored high watermark and merges on the key
-    (a batch that repeats a key keeps its latest row)."""
+    """S4 + S5 through a stored table: the first load (every line up to the
+    cutoff) is committed, then an incremental run slices the bronze table at the
+    stored watermark of each region and merges by transaction line."""
+    from ..session import scratch_path
+    path = scratch_path(spark, f"upsert-{uuid.uuid4().hex[:12]}")
     bronze = D.landing(spark, sf_dir, "raw_transactions")
-    order = [F.col("ingestion_timestamp").desc_nulls_last()]
+    keys = MERGE_KEYS["silver_transactions"]
     first = build_silver_transactions(
         bronze.filter(F.col("ingestion_timestamp") <= F.lit(BATCH_CUTOFF).cast("timestamp")),
         as_of=D.AS_OF)
-    stored = upsert(None, first, ["transaction_sk"], collapse_order=order)
-    batch = build_silver_transactions(bronze, as_of=D.AS_OF, target=stored)
-    return upsert(stored, batch, ["transaction_sk"], collapse_order=order)
-
-
-def _silver_cols(fn) -> list[str]:
-    sql = fn()
-    head = sql[sql.index("SELECT") + 6: sql.index("FROM (")]
-    cols = []
-    for part in _split_top(head):
-        m = re.search(r"(?:AS\s+)?([A-Za-z_][A-Za-z0-9_]*)\s*$", part.strip())
-        cols.append(m.group(1))
-    return cols
-
-
-def _split_top(s: str) -> list[str]:
-    out, depth, cur = [], 0, ""
-    for ch in s:
-        if ch == "(":
-            depth += 1
-        elif ch == ")":
-            depth -= 1
-        if ch == "," and depth == 0:
-            out.append(cur)
-            cur = ""
-        else:
-            cur += ch
-    if cur.strip():
-        out.append(cur)
-    return out
+    stored = upsert_table(spark, path, first, keys)
+    return upsert_table(spark, path, build_silver_transactions(bronze, as_of=D.AS_OF, target=stored), keys)
 
 
 def _upsert_sql() -> str:
-    cols = _silver_cols(O.silver_transactions)
-    rest = [c for c in cols if c != "transaction_sk"]
-    tb = ", ".join(f"{c} ASC NULLS FIRST" for c in rest)
-    collapse = (f"QUALIFY row_number() OVER (PARTITION BY transaction_sk ORDER BY "
-                f"ingestion_timestamp DESC NULLS LAST, {tb}) = 1")
     cut = f"TIMESTAMP '{BATCH_CUTOFF}'"
-    s1 = O.silver_transactions(where=f"ingestion_timestamp <= {cut}")
-    s2 = O.silver_transactions(
-        where="ingestion_timestamp > (SELECT coalesce(max(ingestion_timestamp), "
-              "TIMESTAMP '1970-01-01 00:00:00') FROM first_load)")
+    first = O.silver_transactions(where=f"ingestion_timestamp <= {cut}")
+    # each region's own watermark, its instant included
+    late = O.silver_transactions(
+        where="ingestion_timestamp >= coalesce((SELECT m.mark FROM marks m WHERE m.region = upper(trim(source_region))), "
+              "TIMESTAMP '1970-01-01 00:00:00')")
     return f"""
-WITH first_load AS (SELECT * FROM ({s1}) {collapse}),
-second_batch AS (SELECT * FROM ({s2}) {collapse})
+WITH first_load AS ({first}),
+marks AS (SELECT upper(trim(source_region)) AS region, max(ingestion_timestamp) AS mark FROM first_load GROUP BY 1),
+second_batch AS ({late})
 SELECT * FROM first_load f WHERE NOT EXISTS (
-  SELECT 1 FROM second_batch b WHERE b.transaction_sk = f.transaction_sk)
+  SELECT 1 FROM second_batch b WHERE b.transaction_sk = f.transaction_sk
+    AND b.product_code IS NOT DISTINCT FROM f.product_code)
 UNION ALL SELECT * FROM second_batch"""
 
 
+#: The region that lands late in the two-batch slice below.
+LATE_REGION = "ASIA"
+
+
+def late_region_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 with a late source: the stored load holds every region but one up to
+    an instant; the second run takes the late region whole, and of the others
+    what is as new as their own watermark."""
+    bronze = D.landing(spark, sf_dir, "raw_gate_events")
+    stored = bronze.filter((F.col("ingestion_timestamp") < F.lit("2024-01-20").cast("timestamp"))
+                           & (F.upper(F.trim("source_region")) != LATE_REGION))
+    return incremental_slice(bronze, "ingestion_timestamp", stored, "ingestion_timestamp",
+                             by="source_region", inclusive=True)
+
+
+def _late_region_sql() -> str:
+    return f"""
+WITH b AS ({D.landing_sql("raw_gate_events")}),
+m AS (SELECT upper(trim(source_region)) AS region, max(ingestion_timestamp) AS mark FROM b
+      WHERE ingestion_timestamp < TIMESTAMP '2024-01-20' AND upper(trim(source_region)) <> '{LATE_REGION}' GROUP BY 1)
+SELECT b.* FROM b LEFT JOIN m ON upper(trim(b.source_region)) IS NOT DISTINCT FROM m.region
+WHERE b.ingestion_timestamp >= coalesce(m.mark, TIMESTAMP '1970-01-01')"""
+
+
+def landing_load(name: str):
+    """S8 + S9: a landing table written typed with row ids, and read back."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ..session import scratch_path
+        from ..sources.landing import layer_path, write_landing
+        root = scratch_path(spark, f"landing-{uuid.uuid4().hex[:12]}")
+        df = D.landing(spark, sf_dir, name)
+        write_landing(df, root, name, order_by=[df.columns[0]])
+        return spark.read.parquet(layer_path(root, "landing_zone", name))
+    return run
+
+
+def _landing_load_sql(name: str) -> str:
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in D.landing_columns(name))
+    return f"SELECT row_number() OVER (ORDER BY {order}) AS bronze_id, * FROM ({D.landing_sql(name)})"
+
+
+def two_tenants(name: str):
+    """M1-M8: a bronze table as the tagged union of two tenants' landing tables,
+    one of them holding every row twice."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sf = D.landing(spark, sf_dir, name).drop("source_region")
+        aq = sf.withColumn("batch_id", F.lit("BATCH-AQ")) if "batch_id" in sf.columns else sf
+        return tag_union({"SF": sf.unionAll(sf), "AQ": aq}, tag_col="source_region")
+    return run
+
+
+def _two_tenants_sql(name: str) -> str:
+    cols = [c for c in D.landing_columns(name) if c != "source_region"]
+    sf = ", ".join(cols)
+    aq = ", ".join(f"'BATCH-AQ' AS {c}" if c == "batch_id" else c for c in cols)
+    land = D.landing_sql(name)
+    return (f"SELECT {sf}, 'SF' AS source_region FROM ({land}) UNION ALL SELECT {sf}, 'SF' FROM ({land}) "
+            f"UNION ALL SELECT {aq}, 'AQ' FROM ({land})")
+
+
+def doubled_silver(model: str):
+    """W1-W8 on input with duplicates: a silver model over a landing table that
+    holds every row twice is the model over the table itself."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        w = Warehouse(spark, sf_dir)
+        source = SILVER_SOURCES[model]
+        once = w.bronze(source)
+        w.tables[source] = once.unionAll(once)
+        return w.silver(model)
+    return run
+
+
+def dq_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every declared test: bronze, gold and singular, with severities."""
+    return run_all_checks(Warehouse.materialized(spark, sf_dir))
+
+
 def watermark_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 alone: bronze gate events newer than what a stored load holds."""
     bronze = D.landing(spark, sf_dir, "raw_gate_events")
@@ -218,6 +268,13 @@ def _watermark_sql() -> str:
             f"WHERE ingestion_timestamp < TIMESTAMP '2024-01-20')")
 
 
+#: Columns of silver_staff, in order.
+STAFF_COLUMNS = [
+    "staff_sk", "source_employee_id", "source_region", "department", "nationality", "is_active",
+    "ingestion_timestamp", "ingestion_date", "batch_id", "pipeline_name", "validation_status", "is_duplicate",
+    "staff_status", "silver_loaded_at"]
+
+
 def schema_sync_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S6 + S4: the stored table has an older shape (an extra ``legacy_code``,
     no ``staff_status``); the new batch (re-activated staff) is merged after
@@ -230,7 +287,7 @@ def schema_sync_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _schema_sync_sql() -> str:
     s = O.silver_staff()
-    cols = _silver_cols(O.silver_staff)
+    cols = STAFF_COLUMNS
     old = ", ".join("CAST(NULL AS VARCHAR) AS staff_status" if c == "staff_status" else c
                     for c in cols)
     return f"""
@@ -264,54 +321,6 @@ def dq_gold_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_gold_suite(Warehouse.materialized(spark, sf_dir))
 
 
-def _suite_sql() -> str:
-    lo, hi = (int(x.replace("-", "")) for x in D.CALENDAR)
-    suite = gold_suite(lo, hi)
-    parts = []
-    for model, checks in suite.items():
-        t = f"({O.GOLD[model]()})"
-        for c in checks:
-            x = c.column
-            if c.kind == "not_null":
-                q = f"SELECT count(*) FROM {t} WHERE {x} IS NULL"
-            elif c.kind == "accepted_values":
-                vals = ", ".join(str(v).upper() if isinstance(v, bool) else
-                                 (f"'{v}'" if isinstance(v, str) else str(v)) for v in c.values)
-                q = f"SELECT count(*) FROM {t} WHERE {x} NOT IN ({vals})"
-            elif c.kind == "accepted_range":
-                cond = []
-                if c.min_value is not None:
-                    cond.append(f"{x} >= {c.min_value}")
-                if c.max_value is not None:
-                    cond.append(f"{x} <= {c.max_value}")
-                q = f"SELECT count(*) FROM {t} WHERE NOT ({' AND '.join(cond)})"
-            elif c.kind == "expression_is_true":
-                e = re.sub(r"(\w+) RLIKE ('[^']*')", r"regexp_matches(\1, \2)", c.expression)
-                q = f"SELECT count(*) FROM {t} WHERE NOT ({e})"
-            elif c.kind == "at_least_one":
-                q = f"SELECT CASE WHEN count({x}) = 0 THEN 1 ELSE 0 END FROM {t}"
-            elif c.kind == "row_count":
-                q = f"SELECT CASE WHEN count(*) <> {c.expected} THEN 1 ELSE 0 END FROM {t}"
-            elif c.kind == "unique":
-                q = (f"SELECT count(*) FROM (SELECT {x} FROM {t} WHERE {x} IS NOT NULL "
-                     f"GROUP BY {x} HAVING count(*) > 1)")
-            elif c.kind == "unique_combination":
-                cs = ", ".join(c.columns)
-                q = f"SELECT count(*) FROM (SELECT {cs} FROM {t} GROUP BY {cs} HAVING count(*) > 1)"
-            elif c.kind == "relationships":
-                p = f"({O.GOLD[c.parent]()})"
-                q = (f"SELECT count(*) FROM {t} ch WHERE ch.{x} IS NOT NULL AND NOT EXISTS "
-                     f"(SELECT 1 FROM {p} pa WHERE pa.{c.parent_column} = ch.{x})")
-            else:
-                raise ValueError(c.kind)
-            label = c.label().replace("'", "''")
-            parts.append(f"SELECT '{model}' AS model, '{label}' AS test, CAST(({q}) AS BIGINT) "
-                         f"AS failures, '{c.severity}' AS severity")
-    body = "\nUNION ALL ".join(parts)
-    return (f"SELECT model, test, failures, severity, CASE WHEN failures = 0 THEN 'PASS' "
-            f"WHEN severity = 'warn' THEN 'WARN' ELSE 'FAIL' END AS status FROM ({body})")
-
-
 def dq_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q10: gold vs silver counts with retention % and the 95 % floor (all rows)."""
     return reconciliation(Warehouse.materialized(spark, sf_dir), failing_only=False)
@@ -520,7 +529,12 @@ def _amount_rule_sql() -> str:
 def queries() -> dict:
     def dd(fn):
         return lambda spark, sf_dir: decimals_to_double(fn(spark, sf_dir))
-    return {
+    more = {f"landing_load_{n}": landing_load(n) for n in ("raw_transactions", "raw_feedback")}
+    more |= {f"bronze_two_tenants_{n}": two_tenants(n) for n in D.SPECS}
+    more |= {f"doubled_{m}": dd(doubled_silver(m)) for m in SILVER_BUILDERS}
+    return more | {
+        "incremental_late_region": late_region_slice,
+        "dq_all": dq_all,
         "bronze_products_two_tenants": bronze_products_two_tenants,
         "bronze_parties_union": parties_union,
         "landing_row_ids": landing_row_ids,
@@ -544,7 +558,12 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {
+    more = {f"landing_load_{n}": _landing_load_sql(n) for n in ("raw_transactions", "raw_feedback")}
+    more |= {f"bronze_two_tenants_{n}": _two_tenants_sql(n) for n in D.SPECS}
+    more |= {f"doubled_{m}": O.SILVER[m]() for m in SILVER_BUILDERS}
+    return more | {
+        "incremental_late_region": _late_region_sql(),
+        "dq_all": all_checks_sql(),
         "bronze_products_two_tenants": _bronze_products_sql(),
         "bronze_parties_union": PARTIES_SQL,
         "landing_row_ids": ROW_IDS_SQL,
@@ -554,7 +573,7 @@ def oracle_sql() -> dict:
         "incremental_watermark_slice": _watermark_sql(),
         "incremental_schema_sync_staff": _schema_sync_sql(),
         "stream_silver_gate_events": O.silver_gate_events(),
-        "dq_gold_suite": _suite_sql(),
+        "dq_gold_suite": gold_checks_sql(),
         "dq_reconciliation": _recon_sql(),
         "dq_late_arriving_dimensions": _late_sql(),
         "dq_inactive_staff_in_facts": _inactive_sql(),

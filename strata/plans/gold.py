@@ -1,19 +1,8 @@
 """Gold models: a Kimball star (SCD type 1), full refresh.
 
 Facts resolve their foreign keys with ``lookup``: mandatory keys are INNER
-joins (orphans dropped), optional keys LEFT joins (NULL key kept).  Join
-strategy per dimension:
-
-* date: a calendar whose row count is fixed by its two parameters -> broadcast.
-* park, gate, ride, weather: small by nature (a source table, or aggregates
-  to one row per gate / ride / weather code) -> broadcast after a bounded
-  row-count probe (``SMALL_DIM_ROWS``; the probe caches the small result so
-  it is computed once), else a shuffle join.  Planning the broadcast up front
-  keeps the fact from being shuffled for these joins at all.
-* customer, product, staff: grow with the business -> no hint; Catalyst
-  broadcasts them from size estimates and AQE from measured sizes
-  (``spark.sql.adaptive.autoBroadcastJoinThreshold``), otherwise a sort-merge
-  join with AQE skew splitting.
+joins (orphans dropped), optional keys LEFT joins (NULL key kept).  Catalyst
+and AQE choose the join strategy per dimension from its size.
 
 Each dimension is projected to its key and the taken columns before the join,
 so only those columns are shuffled or broadcast.
@@ -32,9 +21,6 @@ from ..operators.aggregate import dim_from_groups
 from ..operators.dedup import latest_per_key
 from ..operators.lookup import lookup
 
-# Row bound under which a data-derived dimension is broadcast.
-SMALL_DIM_ROWS = 100_000
-
 
 def _audit(as_of):
     return as_of_timestamp(as_of).alias("gold_loaded_at")
@@ -77,10 +63,12 @@ def build_dim_staff(silver_staff: DataFrame, as_of=None) -> DataFrame:
 
 def build_dim_ride(silver_rides: DataFrame, dim_park: DataFrame, as_of=None) -> DataFrame:
     """Latest poll per ride (its name and park), joined to the park dimension."""
-    r = latest_per_key(silver_rides.select("ride_sk", "ride_code", "ride_name", "park_code",
-                                           "poll_datetime"),
-                       ["ride_code"], ["poll_datetime"], tiebreak="all")
-    r = lookup(r, dim_park, "park_code", ["park_key"], required=True, max_rows=SMALL_DIM_ROWS)
+    # few rides, many polls: a hash aggregate per variant of a ride comes first
+    # (partial on each map task), so only variants are ranked, not the polls
+    seen = (silver_rides.groupBy("ride_sk", "ride_code", "ride_name", "park_code")
+            .agg(F.max("poll_datetime").alias("poll_datetime")))
+    r = latest_per_key(seen, ["ride_code"], ["poll_datetime"], tiebreak="all")
+    r = lookup(r, dim_park, "park_code", ["park_key"], required=True)
     return r.select(F.col("ride_sk").alias("ride_key"), "ride_code", "ride_name", "park_key",
                     _audit(as_of))
 
@@ -89,7 +77,7 @@ def build_dim_gate(silver_gate_events: DataFrame, dim_park: DataFrame, as_of=Non
     """Gates per (gate_id, park) with independently picked MAX attributes."""
     g = dim_from_groups(silver_gate_events, ["gate_id", "park_code"],
                         {"gate_location": "max", "zone_code": "max"})
-    g = lookup(g, dim_park, "park_code", ["park_key"], required=True, max_rows=SMALL_DIM_ROWS)
+    g = lookup(g, dim_park, "park_code", ["park_key"], required=True)
     return g.select(uuid_key("gate_id", "park_code").alias("gate_key"), "gate_id",
                     "gate_location", "zone_code", "park_key", _audit(as_of))
 
@@ -104,13 +92,11 @@ def build_dim_weather(silver_weather: DataFrame, as_of=None) -> DataFrame:
 # ----------------------------------------------------------------------- facts
 
 def _date(fact, dim_date, col, required=True):
-    return lookup(fact, dim_date, {col: "full_date"}, ["date_key"], required=required,
-                  broadcast=True)
+    return lookup(fact, dim_date, {col: "full_date"}, ["date_key"], required=required)
 
 
 def _park(fact, dim_park):
-    return lookup(fact, dim_park, "park_code", ["park_key"], required=True,
-                  max_rows=SMALL_DIM_ROWS)
+    return lookup(fact, dim_park, "park_code", ["park_key"], required=True)
 
 
 def build_fact_transaction(silver_transactions: DataFrame, dim_date: DataFrame,
@@ -145,8 +131,7 @@ def build_fact_gate_event(silver_gate_events: DataFrame, dim_date: DataFrame,
     g = silver_gate_events.filter(F.col("event_date").isNotNull())
     g = _date(g, dim_date, "event_date")
     g = _park(g, dim_park)
-    g = lookup(g, dim_gate, ["gate_id", "park_key"], ["gate_key"], required=True,
-               max_rows=SMALL_DIM_ROWS)
+    g = lookup(g, dim_gate, ["gate_id", "park_key"], ["gate_key"], required=True)
     g = lookup(g, dim_customer, "source_customer_id", ["customer_key"], required=False)
     return g.select(
         F.col("gate_event_sk").alias("gate_event_key"), "date_key", "park_key",
@@ -162,7 +147,7 @@ def build_fact_ride_operations(silver_rides: DataFrame, dim_date: DataFrame,
     r = silver_rides.filter(F.col("poll_date").isNotNull())
     r = _date(r, dim_date, "poll_date")
     r = _park(r, dim_park)
-    r = lookup(r, dim_ride, "ride_code", ["ride_key"], required=True, max_rows=SMALL_DIM_ROWS)
+    r = lookup(r, dim_ride, "ride_code", ["ride_key"], required=True)
     r = lookup(r, dim_staff, {"lead_operator_id": "source_employee_id"}, ["staff_key"],
                required=False)
     return r.select(
@@ -199,8 +184,7 @@ def build_fact_weather_observation(silver_weather: DataFrame, dim_date: DataFram
     ).filter(F.col("weather_date").isNotNull() & F.col("weather_code").isNotNull())
     w = _date(w, dim_date, "weather_date")
     w = _park(w, dim_park)
-    w = lookup(w, dim_weather, "weather_code", ["weather_key"], required=True,
-               max_rows=SMALL_DIM_ROWS)
+    w = lookup(w, dim_weather, "weather_code", ["weather_key"], required=True)
     return w.select(
         F.col("weather_sk").alias("weather_obs_key"), "date_key", "park_key", "weather_key",
         F.col("weather_timestamp").alias("poll_datetime"), "temperature_c", "feels_like_c",

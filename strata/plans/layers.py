@@ -20,7 +20,7 @@ from ..sources.landing import ENTITIES, layer_path, read_landing, write_landing
 from ..sources.sinks import write_table
 from . import gold as G
 from . import silver as S
-from .warehouse import gold_suite
+from .warehouse import GOLD_MODELS, bronze_suite, gold_suite, singular_suite
 
 BRONZE_MODELS = [f"raw_{e}" for e in ENTITIES]
 
@@ -78,7 +78,7 @@ def run_layers(spark: SparkSession, root: str, parks_dim: Sequence[tuple[int, st
                park_prefixes: Sequence[str] = ("sf", "aq"),
                silver_params: dict | None = None, watermark_rule: str = "ingestion") -> DataFrame:
     """Run all layers once (a first run loads everything, later runs only new
-    rows) and return the check report of the gold layer."""
+    rows) and return the check report of all layers."""
     silver_params = silver_params or {}
     bronze = {}
     for entity in ENTITIES:
@@ -92,7 +92,7 @@ def run_layers(spark: SparkSession, root: str, parks_dim: Sequence[tuple[int, st
         stored = table.read()
         batch = builder(bronze[S.SILVER_SOURCES[model]], as_of=as_of, target=stored,
                         watermark_rule=watermark_rule, **silver_params.get(model, {}))
-        silver[model] = upsert_table(spark, table.path, batch, S.UNIQUE_KEYS[model])
+        silver[model] = upsert_table(spark, table.path, batch, S.MERGE_KEYS[model])
 
     g = {}
 
@@ -121,5 +121,24 @@ def run_layers(spark: SparkSession, root: str, parks_dim: Sequence[tuple[int, st
     put("fact_weather_observation", G.build_fact_weather_observation(
         silver["silver_weather"], g["dim_date"], g["dim_park"], g["dim_weather"], as_of))
 
+    return check_layers(bronze, silver, g, parks_dim, calendar)
+
+
+def check_layers(bronze: dict[str, DataFrame], silver: dict[str, DataFrame], gold: dict[str, DataFrame],
+                 parks_dim: Sequence[tuple[int, str, str]],
+                 calendar: tuple[str, str] = ("2025-01-01", "2026-12-31")) -> DataFrame:
+    """Every declared test of the bronze and gold layers, and the singular
+    tests, as ``model, test, failures, severity, status``."""
     lo, hi = (int(x.replace("-", "")) for x in calendar)
-    return run_suite(g, gold_suite(lo, hi, n_parks=len(parks_dim)))
+    parks = [(p[0], p[1]) for p in parks_dim]
+    report = run_suite(bronze, bronze_suite([c for _, c in parks]))
+    report = report.unionByName(run_suite(gold, gold_suite(lo, hi, parks)))
+    return report.unionByName(singular_suite(silver, gold))
+
+
+def stored_layers(spark: SparkSession, root: str) -> tuple[dict, dict, dict]:
+    """The stored bronze, silver and gold tables under ``root``."""
+    bronze = {f"raw_{e}": spark.read.parquet(layer_path(root, "bronze", f"raw_{e}")) for e in ENTITIES}
+    silver = {m: VersionedTable(spark, layer_path(root, "silver", m)).read() for m in S.SILVER_BUILDERS}
+    gold = {m: spark.read.parquet(layer_path(root, "gold", m)) for m in GOLD_MODELS}
+    return bronze, silver, gold

@@ -34,9 +34,13 @@ UNIQUE_KEYS = {
     "silver_staff": ["staff_sk"],
 }
 
+# Keys of the stored merge.  A transaction has a row per product, all with one
+# transaction_sk, so its stored rows are keyed per line.
+MERGE_KEYS = UNIQUE_KEYS | {"silver_transactions": ["transaction_sk", "product_code"]}
+
 # Bronze column compared with the watermark, and the silver
 # column holding the same instant (own ingestion watermark) for each model.
-# silver_customers keeps no ingestion column, so it can only use the load time.
+# silver_customers keeps no ingestion column (see ``_slice``).
 INGEST_WATERMARK = {
     "silver_customers": ("ingestion_timestamp", "silver_loaded_at"),
     "silver_transactions": ("ingestion_timestamp", "ingestion_timestamp"),
@@ -54,16 +58,27 @@ def _ts(c: str) -> Column:
 
 
 def _slice(model: str, bronze: DataFrame, target: DataFrame | None, rule: str) -> DataFrame:
-    """Incremental slice: ``rule="ingestion"`` (default) compares with the newest
-    ingested instant already stored; ``rule="load"`` compares with the newest
-    load time, as the original warehouse did (an empty target then selects
-    nothing)."""
-    if target is None:
+    """Incremental slice.
+
+    ``rule="ingestion"`` (default) compares with the newest ingested instant
+    stored of the same source region, that instant included (the keyed merge is
+    idempotent), so neither a region that lands late nor rows of an equal
+    instant are lost.  ``rule="load"`` compares with the newest load time, as
+    the original warehouse did (an empty target then selects nothing).
+    ``rule="all"`` takes every row.
+
+    silver_customers stores no ingestion instant: comparing its load time would
+    lose rows ingested before the load and landed after it, so the default rule
+    takes all its rows and leaves the choice to the merge.
+    """
+    if target is None or rule == "all":
         return bronze
     src, own = INGEST_WATERMARK[model]
     if rule == "load":
         return incremental_slice(bronze, src, target, "silver_loaded_at", empty_target="none")
-    return incremental_slice(bronze, src, target, own, empty_target="all")
+    if own == "silver_loaded_at":
+        return bronze
+    return incremental_slice(bronze, src, target, own, empty_target="all", by="source_region", inclusive=True)
 
 
 def _latest(df: DataFrame, keys, order_col: str) -> DataFrame:

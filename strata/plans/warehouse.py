@@ -1,7 +1,7 @@
 """The warehouse over the driver tables: bronze -> silver -> gold -> checks.
 
 ``Warehouse(spark, sf_dir)`` builds every model lazily as a DataFrame (one
-logical plan per model; nothing runs until an action).  ``materialize`` writes
+logical plan per model; only the parquet footers are read before an action).  ``materialize`` writes
 the layers to storage in dependency order, so that downstream models read
 the written tables instead of recomputing the lineage, and a lost executor
 only repeats the stage it was running.
@@ -9,13 +9,15 @@ only repeats the stage it was running.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.quality import Check, ReconcilePair, run_suite
+from ..operators.quality import Check, ReconcilePair, inactive_dim_rows, null_fk_report, reconcile, run_suite
+from ..functions.keys import UUID_PATTERN
 from . import driver_tables as D
 from . import gold as G
 from . import silver as S
@@ -148,12 +150,70 @@ GOLD_FACTS = ["fact_transaction", "fact_gate_event", "fact_ride_operations",
               "fact_customer_feedback", "fact_weather_observation"]
 GOLD_MODELS = GOLD_DIMS + GOLD_FACTS
 
-_UUID = "RLIKE '^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$'"
+_UUID = f"RLIKE '{UUID_PATTERN}'"
 
 
-def gold_suite(date_min: int, date_max: int, n_parks: int = 5) -> dict[str, list[Check]]:
+#: Parks of the driver data: the regions, by key and code.
+DRIVER_PARKS = [(0, "AFRICA"), (1, "AMERICA"), (2, "ASIA"), (3, "EUROPE"), (4, "MIDDLE EAST")]
+
+
+def bronze_suite(park_codes: Sequence[str]) -> dict[str, list[Check]]:
+    """The declared tests of the bronze layer (park codes as given)."""
+    nn = lambda c: Check("not_null", c)
+    av = lambda c, *values: Check("accepted_values", c, values=values)
+    return {
+        "raw_customers": [nn("source_customer_id"), nn("gender"), av("gender", "M", "F"),
+                          nn("loyalty_points"), av("app_installed", "True", "False"),
+                          av("email_opt_in", "Y", "N"), av("sms_opt_in", "Y", "N")],
+        "raw_gate_events": [nn("source_event_id")],
+        "raw_products": [nn("product_code")],
+        "raw_ride_operations": [nn("source_record_id")],
+        "raw_staff": [nn("source_employee_id")],
+        "raw_transactions": [nn("source_transaction_id")],
+        "raw_feedback": [nn("source_feedback_id")],
+        "raw_weather": [nn("park_code"), av("park_code", *park_codes)],
+    }
+
+
+#: Mandatory foreign keys of each fact.
+MANDATORY_KEYS = {
+    "fact_transaction": ["date_key", "park_key", "product_key"],
+    "fact_gate_event": ["date_key", "park_key", "gate_key"],
+    "fact_ride_operations": ["date_key", "park_key", "ride_key"],
+    "fact_weather_observation": ["date_key", "park_key", "weather_key"],
+    "fact_customer_feedback": ["park_key"],
+}
+
+
+def _inactive_staff(gold: Mapping[str, DataFrame]) -> DataFrame:
+    return inactive_dim_rows(
+        [("fact_transaction", gold["fact_transaction"], "transaction_key", "staff_key"),
+         ("fact_ride_operations", gold["fact_ride_operations"], "ride_ops_key", "staff_key")],
+        gold["dim_staff"], "staff_key")
+
+
+def singular_suite(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -> DataFrame:
+    """The singular tests as rows of the check report: facts below the
+    retention floor (warn), fact rows of inactive staff (warn), mandatory keys
+    that are NULL (error).  ``failures`` counts the rows that each test returns."""
+    tests = [("gold_audit_reconciliation", "warn", reconcile(reconcile_pairs(silver, gold), failing_only=True)),
+             ("gold_inactive_staff_in_facts", "warn", _inactive_staff(gold)),
+             ("gold_late_arriving_dimensions", "error",
+              null_fk_report({f: (gold[f], cols) for f, cols in MANDATORY_KEYS.items()}))]
+    out = None
+    for name, severity, rows in tests:
+        n = rows.agg(F.count(F.lit(1)).alias("failures"))
+        bad = "WARN" if severity == "warn" else "FAIL"
+        one = n.select(F.lit("singular").alias("model"), F.lit(name).alias("test"), "failures",
+                       F.lit(severity).alias("severity"),
+                       F.when(F.col("failures") == 0, F.lit("PASS")).otherwise(F.lit(bad)).alias("status"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def gold_suite(date_min: int, date_max: int, parks: Sequence[tuple[int, str]] = DRIVER_PARKS) -> dict[str, list[Check]]:
     """The declared tests of the gold layer (date range from the calendar,
-    ``n_parks`` rows expected in the park dimension; the driver data has 5)."""
+    ``parks`` as (key, code))."""
     nn = lambda c: Check("not_null", c)
     un = lambda c: Check("unique", c)
     fk = lambda c, p, pc: Check("relationships", c, parent=p, parent_column=pc)
@@ -166,8 +226,11 @@ def gold_suite(date_min: int, date_max: int, n_parks: int = 5) -> dict[str, list
                      un("date_key"), nn("date_key"), rng("date_key", date_min, date_max),
                      un("full_date"), nn("full_date"), un("date_iso"), nn("date_iso"),
                      nn("is_weekend"), Check("accepted_values", "is_weekend", values=(True, False))],
-        "dim_park": [un("park_key"), nn("park_key"), un("park_code"), nn("park_code"),
-                     Check("row_count", expected=n_parks)],
+        "dim_park": [un("park_key"), nn("park_key"),
+                     Check("accepted_values", "park_key", values=tuple(k for k, _ in parks)),
+                     un("park_code"), nn("park_code"),
+                     Check("accepted_values", "park_code", values=tuple(c for _, c in parks)),
+                     Check("row_count", expected=len(parks))],
         "dim_customer": [uuid("customer_key"), Check("at_least_one", "customer_key"),
                          un("customer_key"), nn("customer_key"), un("source_customer_id"),
                          nn("source_customer_id")],
@@ -205,7 +268,8 @@ def gold_suite(date_min: int, date_max: int, n_parks: int = 5) -> dict[str, list
                                  fk("date_key", "dim_date", "date_key"), nn("park_key"),
                                  fk("park_key", "dim_park", "park_key"), nn("ride_key"),
                                  fk("ride_key", "dim_ride", "ride_key"),
-                                 fk("staff_key", "dim_staff", "staff_key")],
+                                 fk("staff_key", "dim_staff", "staff_key"),
+                                 nn("operational_status")],
         "fact_customer_feedback": [un("feedback_key"), nn("feedback_key"), nn("park_key"),
                                    fk("park_key", "dim_park", "park_key"),
                                    fk("date_key", "dim_date", "date_key"),
@@ -216,8 +280,7 @@ def gold_suite(date_min: int, date_max: int, n_parks: int = 5) -> dict[str, list
                                      nn("park_key"), fk("park_key", "dim_park", "park_key"),
                                      nn("weather_key"),
                                      fk("weather_key", "dim_weather", "weather_key"),
-                                     Check("accepted_values", "temperature_category",
-                                           values=("EXTREME_HEAT", "HOT", "WARM", "COOL"))],
+                                     rng("temperature_c", -20, 65)],
     }
 
 
@@ -228,19 +291,37 @@ def run_gold_suite(w: Warehouse) -> DataFrame:
     return run_suite(tables, suite)
 
 
-def reconciliation(w: Warehouse, failing_only: bool = False) -> DataFrame:
-    from ..operators.quality import reconcile
-    s = w.silver
-    return reconcile([
-        ReconcilePair("fact_transaction", w.gold("fact_transaction"),
-                      s("silver_transactions"), F.col("transaction_date").isNotNull()),
-        ReconcilePair("fact_gate_event", w.gold("fact_gate_event"),
-                      s("silver_gate_events"), F.col("event_date").isNotNull()),
-        ReconcilePair("fact_ride_operations", w.gold("fact_ride_operations"),
-                      s("silver_ride_opeartions"), F.col("poll_date").isNotNull()),
-        ReconcilePair("fact_customer_feedback", w.gold("fact_customer_feedback"),
-                      s("silver_feedback")),
-        ReconcilePair("fact_weather_observation", w.gold("fact_weather_observation"),
-                      s("silver_weather"),
+def reconcile_pairs(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -> list[ReconcilePair]:
+    """Facts and the silver rows that they are loaded from."""
+    return [
+        ReconcilePair("fact_transaction", gold["fact_transaction"],
+                      silver["silver_transactions"], F.col("transaction_date").isNotNull()),
+        ReconcilePair("fact_gate_event", gold["fact_gate_event"],
+                      silver["silver_gate_events"], F.col("event_date").isNotNull()),
+        ReconcilePair("fact_ride_operations", gold["fact_ride_operations"],
+                      silver["silver_ride_opeartions"], F.col("poll_date").isNotNull()),
+        ReconcilePair("fact_customer_feedback", gold["fact_customer_feedback"],
+                      silver["silver_feedback"]),
+        ReconcilePair("fact_weather_observation", gold["fact_weather_observation"],
+                      silver["silver_weather"],
                       F.col("weather_date").isNotNull() & F.col("weather_code").isNotNull()),
-    ], failing_only=failing_only)
+    ]
+
+
+FACT_SILVER = ["silver_transactions", "silver_gate_events", "silver_ride_opeartions",
+               "silver_feedback", "silver_weather"]
+
+
+def reconciliation(w: Warehouse, failing_only: bool = False) -> DataFrame:
+    return reconcile(reconcile_pairs({n: w.silver(n) for n in FACT_SILVER}, {n: w.gold(n) for n in GOLD_FACTS}),
+                     failing_only=failing_only)
+
+
+def run_all_checks(w: Warehouse) -> DataFrame:
+    """Bronze, gold and singular tests over one warehouse of the driver data."""
+    lo, hi = (int(x.replace("-", "")) for x in D.CALENDAR)
+    gold = {n: w.gold(n) for n in GOLD_MODELS}
+    suite = bronze_suite([c for _, c in DRIVER_PARKS])
+    report = run_suite({n: w.bronze(n) for n in suite}, suite)
+    report = report.unionByName(run_suite(gold, gold_suite(lo, hi)))
+    return report.unionByName(singular_suite({n: w.silver(n) for n in FACT_SILVER}, gold))

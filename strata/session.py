@@ -74,12 +74,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and versioned scratch tables.
 
     The cluster names it in ``spark.checkpoint.dir`` (a core setting, fixed
-    when the application starts).  Only when it is unset (local tests) a
-    scratch folder is created and registered with
-    ``SparkContext.setCheckpointDir``.
+    when the application starts).  Only in local mode, where one machine holds
+    everything, a scratch folder is created when it is unset (tests); on a
+    cluster each executor would write to its own disk, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
@@ -90,14 +93,23 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_dir(spark), *[p.strip("/") for p in parts]])
 
 
-def read_parquet_or_none(spark: SparkSession, path: str):
-    """``spark.read.parquet(path)``, or ``None`` when nothing is stored there."""
+def read_parquet_or_none(spark: SparkSession, path: str, **options):
+    """``spark.read.parquet(path)``, or ``None`` when the path does not exist.
+    Any other error is raised."""
     from pyspark.errors import AnalysisException
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+        return spark.read.options(**options).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "read_parquet_or_none",
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through Hadoop's file system (whatever store holds it)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "read_parquet_or_none", "delete_path",
            "scale_conf", "DEFAULT_CONF"]

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.casts import nan_to_null
+
 # The layer names, used verbatim as schema / folder names.
 LAYERS = ("landing_zone", "bronze", "silver", "gold")
 
@@ -26,78 +28,84 @@ def layer_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition a scan that has fewer splits than the cluster
-    has task slots (e.g. one small file of one row group), so that the work
-    before the first shuffle is not done by a single task.  Large inputs
-    already have at least that many splits and are returned unchanged; the
-    check only plans the scan, it does not run it."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def read_landing(spark: SparkSession, root: str, name: str, layer: str = "landing_zone",
                  columns: Sequence[str] | None = None) -> DataFrame:
     """Read one named table (parquet); ``columns`` prunes at the scan."""
-    df = spark.read.parquet(layer_path(root, layer, name))
-    df = df.select(*columns) if columns else df
-    return spread_small_scan(df)
+    return read_table(spark, layer_path(root, layer, name), columns)
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
-    df = df.select(*columns) if columns else df
-    return spread_small_scan(df)
+    return df.select(*columns) if columns else df
 
 
 def with_row_id(df: DataFrame, order_by: Sequence, name: str = "bronze_id",
                 start: int = 1) -> DataFrame:
     """Consecutive ids ``start..start+n-1`` in ``order_by`` order, as first column.
 
-    Distributed in two passes instead of a global ``row_number()`` (which
-    moves every row into one task): a range-partitioned sort, per-partition
-    row counts (one small row per partition), their running sum as offsets
-    (broadcast: bounded by the partition count), then
-    offset + position inside the partition.  ``order_by`` must be a total
-    order for the ids to be reproducible.
+    Distributed instead of a global ``row_number()`` (which moves every row
+    into one task): the sorted rows are written once to the shared scratch
+    folder, each with its partition and its position there.  Counts per
+    partition (one small row each) and the ids are both read from that copy,
+    so no row can be lost or numbered twice, whatever adaptive execution does
+    to the sort.  ``order_by`` must be a total order for the ids to be the
+    same in every run; they are consecutive and distinct in any case.
     """
-    sorted_df = df.orderBy(*order_by).withColumn("__pid", F.spark_partition_id())
-    sorted_df = sorted_df.withColumn("__mid", F.monotonically_increasing_id())
-    counts = sorted_df.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"),
-                                            F.min("__mid").alias("__first"))
+    import uuid
+
     from pyspark.sql import Window
+
+    from ..session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, f"row-ids-{uuid.uuid4().hex}")
+    placed = df.orderBy(*order_by).withColumns({
+        "__pid": F.spark_partition_id(),
+        "__pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    placed.write.parquet(path)
+    stored = spark.read.schema(placed.schema).parquet(path)
+    counts = stored.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", "__first",
-                            F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    out = sorted_df.join(F.broadcast(offsets), "__pid")
-    rid = (F.col("__off") + (F.col("__mid") - F.col("__first")) + F.lit(start)).alias(name)
+    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    # one row per partition of the sort: a few megabytes at a hundred thousand partitions
+    out = stored.join(F.broadcast(offsets), "__pid")
+    rid = (F.col("__off") + F.col("__pos") + F.lit(start)).alias(name)
     return out.select(rid, *[F.col(c) for c in df.columns])
 
 
 def infer_landing_schema(df: DataFrame) -> T.StructType:
-    """Declared landing types: primitive types kept, anything else as STRING."""
+    """Declared landing types: primitive types kept, timestamps without a zone
+    as TIMESTAMP, anything else as STRING."""
     keep = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType, T.FloatType,
             T.BooleanType, T.StringType, T.TimestampType, T.DateType)
     fields = []
     for f in df.schema.fields:
         t = f.dataType if isinstance(f.dataType, keep) else T.StringType()
+        if isinstance(f.dataType, T.TimestampNTZType):
+            t = T.TimestampType()
         fields.append(T.StructField(f.name, t, True))
     return T.StructType(fields)
 
 
-def write_landing(df: DataFrame, root: str, name: str, order_by: Sequence | None = None,
+def write_landing(df: DataFrame, root: str, name: str, order_by: Sequence[str] | None = None,
                   layer: str = "landing_zone") -> bool:
     """Drop-and-create a landing table with ``bronze_id`` first.
 
-    Returns False (and writes nothing) for empty input.
+    NaN becomes NULL.  ``order_by`` names the leading columns of the id order;
+    all others follow, so equal rows apart the order is total.  Returns False
+    (and writes nothing) for empty input.
     """
     if df.isEmpty():
         return False
     schema = infer_landing_schema(df)
-    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def typed(f: T.StructField):
+        c = F.col(f.name)
+        if isinstance(df.schema[f.name].dataType, (T.DoubleType, T.FloatType)):
+            c = nan_to_null(c)
+        return c.cast(f.dataType).alias(f.name)
+
+    out = df.select(*[typed(f) for f in schema.fields])
     if order_by:
-        typed = with_row_id(typed, order_by)
-    typed.write.mode("overwrite").parquet(layer_path(root, layer, name))
+        out = with_row_id(out, [*order_by, *[c for c in out.columns if c not in order_by]])
+    out.write.mode("overwrite").parquet(layer_path(root, layer, name))
     return True

@@ -126,7 +126,7 @@ def test_incremental_second_run_upserts_changed_and_new(spark):
         (4, "SF-EMP-0002", "ops", "expat", "yes") + meta(T2),      # changed
         (5, "SF-EMP-0004", "ops", "expat", "1") + meta(T2)])       # new
     batch = S.build_silver_staff(second_bronze, as_of=AS_OF, target=first)
-    assert batch.count() == 2
+    assert batch.count() == 4  # changed, new, and two of the watermark's own instant, taken again
     merged = by(upsert(first, batch, S.UNIQUE_KEYS["silver_staff"]), "source_employee_id")
     assert len(merged) == 4 and merged["SF-EMP-0002"].is_active is True
     assert merged["SF-EMP-0001"].is_active is True
@@ -147,3 +147,24 @@ def test_optional_cdc_filter_and_enrichment(spark):
     plain = S.build_silver_gate_events(X.gates(spark), as_of=AS_OF).count()
     joined = S.build_silver_gate_events(X.gates(spark), as_of=AS_OF, enrich_customers=two).count()
     assert (plain, joined) == (3, 5)
+
+
+def test_building_gold_models_starts_no_job(spark, monkeypatch):
+    """Apart from parquet footers, nothing runs before an action and nothing is cached."""
+    import os
+
+    from strata.plans import driver_tables as D
+    from strata.plans.warehouse import GOLD_MODELS, Warehouse
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        import pytest
+        pytest.skip("driver test data not present")
+    known = {t: D.read(spark, sf, t) for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")}
+    monkeypatch.setattr(D, "read", lambda s, d, name: known[name])
+    spark.sparkContext.setJobGroup("build", "build")
+    w = Warehouse(spark, sf)
+    for m in GOLD_MODELS:
+        w.gold(m)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("build")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import (VersionedTable, bounded_broadcast, dim_from_groups,
+from strata.operators import (VersionedTable, dim_from_groups,
                               incremental_slice, latest_per_key, lookup, orphans, sync_columns,
                               upsert, upsert_table)
 from strata.sources import tag_union, with_row_id, rekey_tenant, scrub_null_text
@@ -47,7 +47,7 @@ def test_latest_per_key_plan_limits_before_shuffle(spark):
 def test_lookup_required_and_optional(spark):
     fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, code string")
     dim = spark.createDataFrame([("a", 10), ("b", 20)], "code string, k int")
-    inner = lookup(fact, dim, "code", ["k"], required=True, max_rows=100)
+    inner = lookup(fact, dim, "code", ["k"], required=True)
     left = lookup(fact, dim, "code", {"k": "dim_k"}, required=False)
     assert rows(inner, "id", "k") == [(1, 10), (2, 20)]
     assert rows(left, "id", "dim_k") == [(1, 10), (2, 20), (3, None)]
@@ -60,13 +60,14 @@ def test_lookup_composite_key(spark):
     assert rows(out, "gate", "park", "key") == [("G1", 1, "k1"), ("G1", 2, "k2")]
 
 
-def test_bounded_broadcast_only_under_bound(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    j1 = spark.range(100).join(bounded_broadcast(small, 10), "id")
-    j2 = spark.range(100).join(bounded_broadcast(big, 10), "id")
-    assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in j2._jdf.queryExecution().analyzed().toString().lower()
+def test_left_lookup_spreads_rows_without_key(spark):
+    fact = spark.range(1000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN cast(id AS string) END AS code")
+    dim = spark.range(0, 1000, 20).selectExpr("cast(id AS string) AS code", "id AS k")
+    out = lookup(fact, dim, "code", ["k"], required=False)
+    assert out.columns == ["id", "code", "k"]
+    assert out.count() == 1000 and out.filter("k IS NOT NULL").count() == 50
+    plan = lookup(fact, dim.hint("merge"), "code", ["k"], required=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__spread" in plan and "__zero" in plan  # both are join keys, neither is folded away
 
 
 def test_orphans_nullable(spark):
@@ -129,7 +130,56 @@ def test_versioned_table_two_batches(spark, tmp_root):
     assert rows(out, "k", "v") == [(1, "a"), (2, "B"), (3, "c")]
     t = VersionedTable(spark, path)
     assert t.current_version() == 2
-    assert rows(spark.read.parquet(f"{path}/v1"), "k", "v") == [(1, "a"), (2, "b")]
+    assert rows(t.read(version=1), "k", "v") == [(1, "a"), (2, "b")]
+    assert upsert_table(spark, path, b2.limit(0), ["k"]).count() == 3 and t.current_version() == 2
+    assert t.vacuum(keep=1) == [1] and t.read().count() == 3
+
+
+def test_versioned_table_survives_a_stop_between_its_steps(spark, tmp_root, monkeypatch):
+    path = f"{tmp_root}/silver_y"
+    b1 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    b2 = spark.createDataFrame([(3, "c")], "k int, v string")
+    t = VersionedTable(spark, path)
+    assert t.read() is None
+
+    def stop(*args):
+        raise RuntimeError("stopped")
+    with monkeypatch.context() as m:  # before the first record
+        m.setattr(VersionedTable, "_publish", stop)
+        with pytest.raises(RuntimeError):
+            upsert_table(spark, path, b1, ["k"])
+    assert t.current_version() is None
+    upsert_table(spark, path, b1, ["k"])
+    with monkeypatch.context() as m:  # data written, record missing
+        m.setattr(VersionedTable, "_publish", stop)
+        with pytest.raises(RuntimeError):
+            upsert_table(spark, path, b2, ["k"])
+    assert rows(t.read(), "k", "v") == [(1, "a"), (2, "b")]
+    assert rows(upsert_table(spark, path, b2, ["k"]), "k", "v") == [(1, "a"), (2, "b"), (3, "c")]
+    with pytest.raises(Exception):  # a second writer of the same version
+        t._publish(2, "other")
+    assert t.read().count() == 3
+
+
+def test_a_batch_with_repeated_keys_is_rejected(spark, tmp_root):
+    from strata.operators import upsert_partitions
+    batch = spark.createDataFrame([(1, "a", "x"), (1, "b", "x")], "k int, v string, day string")
+    with pytest.raises(ValueError):
+        upsert_table(spark, f"{tmp_root}/r", batch, ["k"])
+    with pytest.raises(ValueError):
+        upsert_partitions(spark, f"{tmp_root}/r2", batch, ["k"], ["day"])
+    assert upsert_table(spark, f"{tmp_root}/r", batch, ["k"], collapse_order=["v"]).first()["v"] == "b"
+
+
+def test_slice_per_source_takes_late_and_equal_instants(spark):
+    mk = lambda r: spark.createDataFrame(r, "region string, ts string")
+    src = mk([("sf", "2025-01-01 10:00:00"), ("SF ", "2025-01-01 09:00:00"), ("aq", "2025-01-01 08:00:00"),
+              ("aq", "2025-01-01 09:30:00"), (None, "2024-01-01 00:00:00"), ("new", "2020-01-01 00:00:00")])
+    stored = mk([("SF", "2025-01-01 10:00:00"), ("AQ", "2025-01-01 08:00:00")]).selectExpr("region", "cast(ts AS timestamp) AS ts")
+    got = incremental_slice(src, "ts", stored, "ts", by="region", inclusive=True)
+    assert got.columns == ["region", "ts"]
+    assert sorted((r.region or "", r.ts[11:16]) for r in got.collect()) == [
+        ("", "00:00"), ("aq", "08:00"), ("aq", "09:30"), ("new", "00:00"), ("sf", "10:00")]
 
 
 # ---------------------------------------------------------------- sources
@@ -160,6 +210,28 @@ def test_with_row_id_consecutive(spark):
     assert out.columns[0] == "bronze_id"
 
 
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_row_ids_of_a_wide_table_with_a_repeated_order_key(spark, coalesce):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        df = spark.range(300_000).selectExpr("id % 50 AS k", "id", *[f"concat('text', id * {i}) AS c{i}" for i in range(1, 6)])
+        ids = with_row_id(df, ["k"]).agg(F.count("*"), F.countDistinct("bronze_id"), F.min("bronze_id"), F.max("bronze_id")).first()
+        assert tuple(ids) == (300_000, 300_000, 1, 300_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_landing_load_maps_nan_and_timestamps(spark, tmp_root):
+    from strata.sources import write_landing
+    df = spark.sql("SELECT 1 AS id, double('NaN') AS x, float('NaN') AS y, timestamp_ntz '2025-01-01 10:00:00' AS t "
+                   "UNION ALL SELECT 1, 2.0D, float(3), NULL")
+    assert write_landing(df, tmp_root, "sf_x", order_by=["id"])
+    out = spark.read.parquet(f"{tmp_root}/landing_zone/sf_x")
+    assert dict(out.dtypes) == {"bronze_id": "bigint", "id": "int", "x": "double", "y": "float", "t": "timestamp"}
+    assert out.filter("x IS NULL AND y IS NULL").count() == 1 and out.filter("isnan(x) OR isnan(y)").count() == 0
+
+
 def test_salted_lookup_same_result(spark):
     fact = spark.createDataFrame([(i, "hot" if i % 3 else "cold") for i in range(60)] + [(99, None)],
                                  "id int, code string")
@@ -208,6 +280,19 @@ def test_upsert_partitions_prunes_at_scan(spark, tmp_root):
     assert out.count() == 100 and out.filter("v = 'y'").count() == 1
 
 
+def test_upsert_partitions_many_partitions_and_moved_keys(spark, tmp_root):
+    from strata.operators import upsert_partitions
+    path = f"{tmp_root}/many"
+    base = spark.range(600).selectExpr("id AS k", "'x' AS v", "cast(id AS string) AS day").repartition(4, "day")
+    upsert_partitions(spark, path, base, ["k"], ["day"])
+    out = upsert_partitions(spark, path, base.selectExpr("k", "'y' AS v", "day"), ["k"], ["day"])
+    assert out.count() == 600 and out.filter("v = 'y'").count() == 600
+    moved = spark.createDataFrame([(3, "z", "4")], "k long, v string, day string")
+    with pytest.raises(ValueError):
+        upsert_partitions(spark, path, moved, ["k"], ["day"])
+    assert spark.read.parquet(path).count() == 600
+
+
 def test_scale_conf_sizes_partitions():
     from strata.session import scale_conf
     c = scale_conf(30 * 1024 ** 4, 8000)
