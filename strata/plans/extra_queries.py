@@ -19,7 +19,7 @@ from . import driver_tables as D
 from . import oracle_sql as O
 from .oracle_checks import all_checks_sql, gold_checks_sql
 from .silver import MERGE_KEYS, SILVER_BUILDERS, SILVER_SOURCES, build_silver_staff, build_silver_transactions
-from .warehouse import Warehouse, decimals_to_double, reconciliation, run_all_checks, run_gold_suite
+from .warehouse import GOLD_FACTS, GOLD_MODELS, Warehouse, decimals_to_double, reconciliation, run_all_checks, run_gold_suite
 
 # Fixed parameters of the two-batch incremental load: rows ingested up to the
 # cutoff form the first load, the rest arrive in the second run.
@@ -318,12 +318,12 @@ def stream_silver_gate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_gold_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1-Q9 + Q11: the declared gold tests, folded per table."""
-    return run_gold_suite(Warehouse.materialized(spark, sf_dir))
+    return run_gold_suite(Warehouse.materialized(spark, sf_dir, models=GOLD_MODELS))
 
 
 def dq_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q10: gold vs silver counts with retention % and the 95 % floor (all rows)."""
-    return reconciliation(Warehouse.materialized(spark, sf_dir), failing_only=False)
+    return reconciliation(Warehouse.materialized(spark, sf_dir, models=GOLD_FACTS), failing_only=False)
 
 
 def _recon_sql() -> str:
@@ -356,7 +356,7 @@ NULL_FK_CHECKS = {
 
 def dq_late_arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q13: NULL mandatory foreign keys per fact (all 13 counts, one scan per fact)."""
-    w = Warehouse.materialized(spark, sf_dir)
+    w = Warehouse.materialized(spark, sf_dir, models=list(NULL_FK_CHECKS))
     return Q.null_fk_report({f: (w.gold(f), cols) for f, cols in NULL_FK_CHECKS.items()},
                             failing_only=False)
 
@@ -372,7 +372,7 @@ def _late_sql() -> str:
 
 def dq_inactive_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q12: fact rows pointing at staff whose ``is_active`` is FALSE."""
-    w = Warehouse.materialized(spark, sf_dir)
+    w = Warehouse.materialized(spark, sf_dir, models=["fact_transaction", "fact_ride_operations"])
     return Q.inactive_dim_rows(
         [("fact_transaction", w.gold("fact_transaction"), "transaction_key", "staff_key"),
          ("fact_ride_operations", w.gold("fact_ride_operations"), "ride_ops_key", "staff_key")],
@@ -392,7 +392,9 @@ def _inactive_sql() -> str:
 
 def dq_ri_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q14: referential-integrity report over the silver tables."""
-    w = Warehouse.materialized(spark, sf_dir, layers=("silver",))
+    w = Warehouse.materialized(spark, sf_dir, models=[
+        "silver_transactions", "silver_customers", "silver_products", "silver_staff", "silver_gate_events",
+        "silver_ride_opeartions", "silver_feedback"])
     s = w.silver
     R = Q.Relation
     return Q.ri_report([

@@ -102,21 +102,23 @@ class Warehouse:
     # ------------------------------------------------------------- write out
     @classmethod
     def materialized(cls, spark: SparkSession, sf_dir: str, as_of: str | None = D.AS_OF,
-                     root: str | None = None, layers=("silver", "gold")) -> "Warehouse":
-        """A warehouse whose layers are written (under ``root``, default a fresh
-        folder in the shared checkpoint directory) and read back."""
+                     root: str | None = None, models: Sequence[str] | None = None) -> "Warehouse":
+        """A warehouse whose silver and gold tables are written (under ``root``,
+        default a fresh folder in the shared checkpoint directory) and read
+        back: all of them, or ``models`` and what those are built from."""
         if root is None:
             import uuid
             from ..session import scratch_path
             root = scratch_path(spark, f"warehouse-{uuid.uuid4().hex[:12]}")
         w = cls(spark, sf_dir, as_of)
         w.root = root
-        w.materialize(root, layers)
+        w.materialize(root, models)
         return w
 
-    def materialize(self, root: str, layers=("silver", "gold"), parallel: int = 4) -> dict[str, str]:
+    def materialize(self, root: str, models: Sequence[str] | None = None, parallel: int = 4) -> dict[str, str]:
         """Write silver, then the dimensions, then the facts under ``root`` and
-        re-read each table, so later models read stored tables.
+        re-read each table, so later models read stored tables.  ``models``
+        limits this to some models and what they are built from.
 
         Tables of one wave do not depend on each other; their write jobs are
         submitted from ``parallel`` threads so that small jobs share the
@@ -136,11 +138,15 @@ class Warehouse:
                     paths[n] = path
                     self.tables[n] = self.spark.read.parquet(path)
 
-        if "silver" in layers:
-            wave("silver", list(S.SILVER_BUILDERS), self.silver)
-        if "gold" in layers:
-            wave("gold", GOLD_DIMS, self.gold)
-            wave("gold", GOLD_FACTS, self.gold)
+        need = set(S.SILVER_BUILDERS) | set(GOLD_MODELS) if models is None else set()
+        queue = list(models or [])
+        while queue:
+            m = queue.pop()
+            need.add(m)
+            queue += BUILT_FROM.get(m, [])
+        wave("silver", [m for m in S.SILVER_BUILDERS if m in need], self.silver)
+        wave("gold", [m for m in GOLD_DIMS if m in need], self.gold)
+        wave("gold", [m for m in GOLD_FACTS if m in need], self.gold)
         return paths
 
 
@@ -150,6 +156,18 @@ GOLD_FACTS = ["fact_transaction", "fact_gate_event", "fact_ride_operations",
               "fact_customer_feedback", "fact_weather_observation"]
 GOLD_MODELS = GOLD_DIMS + GOLD_FACTS
 
+#: What each gold model reads.
+BUILT_FROM = {
+    "dim_customer": ["silver_customers"], "dim_product": ["silver_products"], "dim_staff": ["silver_staff"],
+    "dim_ride": ["silver_ride_opeartions", "dim_park"], "dim_gate": ["silver_gate_events", "dim_park"],
+    "dim_weather": ["silver_weather"],
+    "fact_transaction": ["silver_transactions", "dim_date", "dim_park", "dim_product", "dim_customer", "dim_staff"],
+    "fact_gate_event": ["silver_gate_events", "dim_date", "dim_park", "dim_gate", "dim_customer"],
+    "fact_ride_operations": ["silver_ride_opeartions", "dim_date", "dim_park", "dim_ride", "dim_staff"],
+    "fact_customer_feedback": ["silver_feedback", "dim_date", "dim_park", "dim_customer"],
+    "fact_weather_observation": ["silver_weather", "dim_date", "dim_park", "dim_weather"],
+}
+
 _UUID = f"RLIKE '{UUID_PATTERN}'"
 
 
