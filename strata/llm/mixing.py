@@ -53,13 +53,11 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, max_epochs: int =
     weight_left = F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0))
     s = s.withColumn("level", left.cast("double") / weight_left)
     s = s.withColumn("free", F.col("cap") > F.col("level") * F.col("weight"))
-    level = F.min(F.when(F.col("free"), F.struct("cap", "level", "weight"))).over(whole)
-    # the first free source in ratio order sets the level of all free ones
+    # the first source in ratio order that stays below its cap sets the level of all such
     first = F.min_by("level", F.when(F.col("free"), F.col("cap") / F.col("weight"))).over(whole)
     s = s.withColumn("first", first)
-    return s.withColumn(
-        "target", F.when(level.isNull() | ~F.col("free"), F.col("cap").cast("double"))
-        .otherwise(F.col("first") * F.col("weight"))).drop("cap", "level", "free", "first")
+    return s.withColumn("target", F.when(F.col("free"), F.col("first") * F.col("weight"))
+                        .otherwise(F.col("cap").cast("double"))).drop("cap", "level", "free", "first")
 
 
 def mix(docs: DataFrame, size: Column, seed: int = 17, weights: tuple = WEIGHTS,
