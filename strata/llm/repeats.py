@@ -382,7 +382,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, grou
 
     grouped = d.withColumn("group", group("row"))
     runs = store(_repeating(_first_runs(d, groups, length, kmer), groups), "repeat-runs")
-    lost = store(_verdicts(_strings(grouped, runs, length), length), "repeat-verdicts")
+    # in one plan with the cut below, so both use one exchange of the texts
+    lost = _verdicts(_strings(grouped, runs, length), length)
 
     def cut(docs: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         docs = docs.assign(bytes=[t.encode("utf-8", "replace") for t in docs["text"]])
