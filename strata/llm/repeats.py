@@ -38,7 +38,8 @@ KMER = 20
 MAX_RUN = 256
 PIECE = 1 << 20
 GROUP_BYTES = 8 << 20
-SHARD_BYTES = 1 << 16
+SHARD_BYTES = 1 << 15
+MERGE_BYTES = 1 << 18
 NO_ID = np.iinfo(np.int64).max
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,61 +140,99 @@ def _spans(key: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 
 # ------------------------------------------------- transforms and merging
-def suffix_order(data: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling; ``data`` is numbers with a distinct
-    least number at the end of every string."""
-    rank = np.unique(data, return_inverse=True)[1].astype(np.int64)
-    n, step = len(data), 1
-    while True:
+FIRST = 7  # symbols ranked at once
+
+
+def suffix_order(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix array by prefix doubling, and for its rows the first ``FIRST``
+    symbols as a number and whether a string ends in them; ``data`` has bytes as 1 to 256 and 0 at
+    the end of every string (at ``ends``), which differs from every other end."""
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(FIRST, data.dtype)])
+    key = np.zeros(n, np.int64)
+    open_ = np.ones(n, bool)
+    for k in range(FIRST):  # nothing behind a string's end counts
+        symbol = padded[k:k + n]
+        key = key * 512 + np.where(open_, symbol, 0)
+        open_ &= symbol > 0
+    # suffixes that reach their end are told apart by the string's number
+    reach = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
+    first, ends_in = key, reach < FIRST
+    order = np.lexsort((np.where(reach < FIRST, np.searchsorted(ends, np.arange(n)), 0), key))
+    short = reach[order] < FIRST
+    new = np.r_[False, (key[order][1:] != key[order][:-1]) | short[1:]]
+    rank = np.empty(n, np.int64)
+    rank[order] = new.cumsum()
+    step = FIRST
+    while rank.max() < n - 1:
         after = np.zeros(n, np.int64)
         after[:n - step] = rank[step:] + 1
         key = rank * (n + 1) + after
         order = np.argsort(key, kind="stable")
-        new = np.r_[False, key[order[1:]] != key[order[:-1]]].cumsum()
-        rank[order] = new
-        if new[-1] == n - 1:
-            return order
+        rank[order] = np.r_[False, key[order][1:] != key[order][:-1]].cumsum()
         step *= 2
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
+    return order, first[order], ends_in[order]
 
 
 class Shard:
     """Strings, their suffix order and transform; 0 in the transform stands for
-    a string's beginning, bytes are 1 to 256."""
+    a string's beginning, bytes are 1 to 255 (255 itself is no byte of UTF-8)."""
 
     def __init__(self, strings: list[bytes], first: int):
         sizes = np.array([len(s) + 1 for s in strings])
         ends = np.cumsum(sizes) - 1
-        data = np.zeros(int(sizes.sum()), np.int64)
-        data[np.setdiff1d(np.arange(len(data)), ends, assume_unique=True)] = np.frombuffer(b"".join(strings), np.uint8)
-        data += len(strings)
-        data[ends] = np.arange(len(strings))
-        order = suffix_order(data)
-        before = np.where(data >= len(strings), data - len(strings) + 1, 0)
-        self.bwt = before[order - 1].astype(np.uint16)
+        data = np.frombuffer(b"\xff".join([*strings, b""]), np.uint8) + np.uint8(1)  # 0 at the ends
+        order, self.first, self.ends_in = suffix_order(data, ends)
+        self.bwt = data[order - 1]  # 0 before a string's beginning
         self.ends = len(strings)
-        owner = np.repeat(np.arange(len(strings)), sizes)
-        self.string = owner[order] + first
-        self.offset = order - (ends - sizes + 1)[owner[order]]
+        # where a row goes when the symbol before it is put in front; 0: nowhere
+        sorted_ = np.argsort(self.bwt, kind="stable")[self.ends:]
+        self.front = np.zeros(len(data), np.int32)
+        self.front[sorted_] = np.arange(self.ends, len(data))
+        owner = np.repeat(np.arange(len(strings), dtype=np.int32), sizes)[order]
+        self.string = owner + first
+        self.offset = (order - (ends - sizes + 1)[owner]).astype(np.int32)
 
 
 def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Interleave refinement of all shards to ``depth`` symbols: per merged row
-    its string and offset, and the number of its interval of equal prefixes
-    (prefixes that pass a string's end are equal to no other)."""
+    """Interleave refinement of all shards to ``depth`` symbols: the merged rows
+    whose first ``depth`` symbols occur more than once, as string, offset and
+    the number of their interval of equal prefixes.
+
+    A round puts the symbol before each row in front of it: one stable sort by
+    that symbol is the next interleave, and two rows stay in one interval if
+    their symbols and their intervals were equal.  A row alone in its interval
+    stays alone whatever is put in front, so it leaves the rounds.
+    """
+    sizes = np.array([len(s.bwt) for s in shards])
+    base = np.cumsum(sizes) - sizes
     bwt = np.concatenate([s.bwt for s in shards])
-    which = np.repeat(np.arange(len(shards)), [len(s.bwt) for s in shards]).astype(np.uint16 if len(shards) < 1 << 16 else np.int64)
-    ends = np.repeat(np.arange(len(shards)), [s.ends for s in shards]).astype(which.dtype)
-    rows = np.empty(len(bwt), np.int64)
-    rows[:] = np.arange(len(bwt))
-    interval = np.zeros(len(bwt), np.int64)
-    for _ in range(depth):
-        symbol = bwt[rows]
+    front = np.concatenate([s.front + b for s, b in zip(shards, base)])
+    rows = np.arange(len(bwt))  # at first the shards stand one behind the other
+    new, known = np.arange(len(bwt)) == 0, 0
+    if depth >= FIRST:  # the first symbols of the shards' sorted rows merge at once
+        first, ends_in = (np.concatenate(x) for x in zip(*[(s.first, s.ends_in) for s in shards]))
+        rows = np.argsort(first, kind="stable")
+        key = first[rows]
+        new = np.r_[True, (key[1:] != key[:-1]) | ends_in[rows][1:]]
+        known = FIRST
+    for step in range(known, depth + 1):
+        alone = new & np.r_[new[1:], True]
+        interval = np.cumsum(new)[~alone]
+        rows = rows[~alone]
+        if step == depth or not len(rows):
+            break
+        symbol = np.take(bwt, rows)
         order = np.argsort(symbol, kind="stable")[np.count_nonzero(symbol == 0):]
-        was, symbol = interval[order], symbol[order]
-        new = np.r_[True, (symbol[1:] != symbol[:-1]) | (was[1:] != was[:-1])] if len(order) else np.zeros(0, bool)
-        interval = np.concatenate([np.arange(len(ends)), len(ends) - 1 + new.cumsum()])
-        which = np.concatenate([ends, which[order]])
-        rows[np.argsort(which, kind="stable")] = np.arange(len(bwt))  # a shard's rows keep their order
+        was, symbol = np.take(interval, order), np.take(symbol, order)
+        new = np.ones(len(order), bool)
+        np.logical_or(symbol[1:] != symbol[:-1], was[1:] != was[:-1], out=new[1:])
+        rows = np.take(front, np.take(rows, order))  # a shard's rows keep their order
+        if not len(rows):
+            interval = np.zeros(0, np.int64)
+            break
     string = np.concatenate([s.string for s in shards])[rows]
     offset = np.concatenate([s.offset for s in shards])[rows]
     return string, offset, interval
@@ -210,13 +249,27 @@ def least_documents(strings: list[bytes], least: np.ndarray, length: int, shard_
             shards.append(Shard(held, first))
             held, size, first = [], 0, i + 1
     string, offset, interval = merge(shards, length)
-    cut = np.flatnonzero(np.r_[True, interval[1:] != interval[:-1]])
-    low = np.repeat(np.minimum.reduceat(least[string], cut), np.diff(np.r_[cut, len(interval)]))
-    sizes = np.array([len(s) + 1 for s in strings])
-    begin = np.cumsum(sizes) - sizes
-    flat = np.empty(len(low), np.int64)
-    flat[begin[string] + offset] = low
-    return [flat[b:b + n - length] for b, n in zip(begin, sizes)]
+    sizes = np.array([len(s) for s in strings])
+    flat, begin = np.repeat(least, sizes), np.cumsum(sizes) - sizes  # what occurs once has its own
+    if len(interval):
+        cut = np.flatnonzero(np.r_[True, interval[1:] != interval[:-1]])
+        low = np.minimum.reduceat(least[string], cut)
+        flat[begin[string] + offset] = np.repeat(low, np.diff(np.r_[cut, len(interval)]))
+    return [flat[b:b + max(0, n - length + 1)] for b, n in zip(begin, sizes)]
+
+
+def batches_of(groups: list[list], size: int) -> Iterator[list]:
+    """Whole groups of strings together, about ``size`` bytes at a time (a
+    merge of that size stays in the processor's cache)."""
+    held, n = [], 0
+    for group in groups:
+        held += group
+        n += sum(len(s) for _, s in group)
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
 # ------------------------------------------------------------------ stages
@@ -342,8 +395,10 @@ def _verdicts(strings: DataFrame, length: int) -> DataFrame:
         same: dict[int, list[bytes]] = {}
         for h, s in least:
             same.setdefault(h, []).append(s)
-        merged = [(h, s) for h, ss in same.items() if len(ss) > 1 for s in ss]
-        lows = dict(zip(merged, least_documents([s for _, s in merged], np.array([least[k] for k in merged]), length))) if merged else {}
+        # strings of different minimizers share nothing: they need not meet
+        lows = {}
+        for some in batches_of([[(h, s) for s in ss] for h, ss in same.items() if len(ss) > 1], MERGE_BYTES):
+            lows.update(zip(some, least_documents([s for _, s in some], np.array([least[k] for k in some]), length)))
         out: dict[int, list] = {}
         for k, low in least.items():
             per = lows.get(k)
