@@ -75,7 +75,7 @@ def edit(a, b):
 
 def brute_lines(rows):
     import regex
-    norm = lambda l: regex.sub(r"[^\p{L}\p{N}]+", " ", l.lower().translate(str.maketrans("123456789", "0" * 9))).strip(" ")
+    norm = lambda l: regex.sub(r"[^\p{L}0-9]+", " ", l.lower()).strip(" ")
 
     def fp(words):
         h = [xxhash.xxh64_intdigest(w, 42) for w in dict.fromkeys(words)]
