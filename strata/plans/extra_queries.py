@@ -18,7 +18,7 @@ from ..sources.landing import with_row_id
 from . import driver_tables as D
 from . import oracle_sql as O
 from .oracle_checks import all_checks_sql, gold_checks_sql
-from .silver import MERGE_KEYS, SILVER_BUILDERS, SILVER_SOURCES, build_silver_staff, build_silver_transactions
+from .silver import MERGE_KEYS, SILVER_BUILDERS, SILVER_SOURCES, build_silver_gate_events, build_silver_staff, build_silver_transactions, cdc_filter
 from .warehouse import GOLD_FACTS, GOLD_MODELS, Warehouse, decimals_to_double, reconciliation, run_all_checks, run_gold_suite
 
 # Fixed parameters of the two-batch incremental load: rows ingested up to the
@@ -249,6 +249,53 @@ def doubled_silver(model: str):
     return run
 
 
+#: Beginning and end of the customer ids that the debug slice keeps.
+CUSTOMER_SLICE = ("CUST", "7")
+
+
+def gate_events_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 + X6: gate events of the customers whose id begins and ends as asked."""
+    return build_silver_gate_events(D.landing(spark, sf_dir, "raw_gate_events"), as_of=D.AS_OF,
+                                    customer_slice=CUSTOMER_SLICE)
+
+
+def _slice_sql() -> str:
+    a, b = CUSTOMER_SLICE
+    return (f"SELECT * FROM ({O.silver_gate_events()}) WHERE left(source_customer_id, {len(a)}) = '{a}' "
+            f"AND right(source_customer_id, {len(b)}) = '{b}'")
+
+
+def gate_events_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5: gate events joined to every silver customer of their id."""
+    w = Warehouse(spark, sf_dir)
+    return build_silver_gate_events(w.bronze("raw_gate_events"), as_of=D.AS_OF,
+                                    enrich_customers=w.silver("silver_customers"))
+
+
+def _enriched_sql() -> str:
+    return (f"SELECT g.* FROM ({O.silver_gate_events()}) g LEFT JOIN ({O.silver_customers()}) c "
+            f"ON g.source_customer_id = c.source_customer_id")
+
+
+# Status columns of the landed transactions, taken from other values of the row.
+STATUS_SQL = {
+    "validation_status": "CASE WHEN TRY_CAST(quantity AS DOUBLE) > 25 THEN ' valid' ELSE 'pending' END",
+    "cdc_operation": "CASE WHEN refund_reference_id IS NULL THEN 'Insert' ELSE 'delete ' END",
+}
+
+
+def valid_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """landed transactions that are validated and not deletes."""
+    landed = D.landing(spark, sf_dir, "raw_transactions")
+    return cdc_filter(landed.withColumns({c: F.expr(e) for c, e in STATUS_SQL.items()}))
+
+
+def _valid_sql() -> str:
+    cols = ", ".join(f"{STATUS_SQL[c]} AS {c}" if c in STATUS_SQL else c for c in D.landing_columns("raw_transactions"))
+    return (f"SELECT * FROM (SELECT {cols} FROM ({D.landing_sql('raw_transactions')})) "
+            f"WHERE upper(trim(validation_status)) = 'VALID' AND upper(trim(cdc_operation)) <> 'DELETE'")
+
+
 def dq_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every declared test: bronze, gold and singular, with severities."""
     return run_all_checks(Warehouse.materialized(spark, sf_dir))
@@ -303,7 +350,6 @@ def stream_silver_gate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
     from ..session import scratch_path
     from ..streaming import run_available_now
-    from .silver import build_silver_gate_events
     run = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
     schema = D.read(spark, sf_dir, "events").schema
     return run_available_now(
@@ -536,6 +582,9 @@ def queries() -> dict:
     more |= {f"doubled_{m}": dd(doubled_silver(m)) for m in SILVER_BUILDERS}
     return more | {
         "incremental_late_region": late_region_slice,
+        "silver_gate_events_slice": gate_events_slice,
+        "silver_gate_events_enriched": gate_events_enriched,
+        "bronze_valid_transactions": valid_transactions,
         "dq_all": dq_all,
         "bronze_products_two_tenants": bronze_products_two_tenants,
         "bronze_parties_union": parties_union,
@@ -565,6 +614,9 @@ def oracle_sql() -> dict:
     more |= {f"doubled_{m}": O.SILVER[m]() for m in SILVER_BUILDERS}
     return more | {
         "incremental_late_region": _late_region_sql(),
+        "silver_gate_events_slice": _slice_sql(),
+        "silver_gate_events_enriched": _enriched_sql(),
+        "bronze_valid_transactions": _valid_sql(),
         "dq_all": all_checks_sql(),
         "bronze_products_two_tenants": _bronze_products_sql(),
         "bronze_parties_union": PARTIES_SQL,
