@@ -12,7 +12,7 @@ from __future__ import annotations
 import heapq
 
 NEVER = 1 << 60
-MOST_PAIRS = 400_000  # answers remembered
+MOST_PAIRS = 200_000  # answers remembered
 
 
 def merge_all(symbols: list[str], rank) -> list[str]:

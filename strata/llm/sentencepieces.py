@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from .common import read_table, text_of
+from .common import read_table, text_of, worker_cached
 from .merges import MergeTable, merge_all
 
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 MEMO_CHARS = 64
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 NORMAL, BYTE = 1, 6  # piece kinds of the model file
 
 
@@ -176,21 +176,26 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text; words are held for ``BLOCK_CHARS`` at a time."""
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= BLOCK_CHARS):
-                size += len(texts[end])
-                end += 1
-            yield from self.encode_block(texts[at:end])
-            at = end
+        for a, b in blocks(texts):
+            yield from self.encode_block(texts[a:b])
+
+
+def blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``BLOCK_CHARS`` together."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= BLOCK_CHARS):
+            size += len(texts[end])
+            end += 1
+        yield at, end
+        at = end
 
 
 class Decoder:
     """Ids to text, as the library decodes them."""
 
-    def __init__(self, path: str):
-        m = PieceModel(path)
+    def __init__(self, m: PieceModel):
         self.raw = [b"" if s else p.replace(MARK, " ").encode() for p, s in zip(m.pieces, m.special)]
         for b, i in enumerate(m.bytes_):
             self.raw[i] = bytes([b])
@@ -208,7 +213,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     row; an empty table gives none; other columns are not read.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = Encoder(model)
+        enc = worker_cached(("pieces", model), lambda: Encoder(model))
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "ids": list(enc.encode(pdf["text"].tolist()))})
 
@@ -219,7 +224,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 def decode(encoded: DataFrame, model: str) -> DataFrame:
     """``(doc_id, text)`` of ``(doc_id, ids)``; null ids decode to the empty text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dec = Decoder(model)
+        dec = Decoder(PieceModel(model))
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text": [dec.decode(x or b"") for x in pdf["ids"]]})
 
@@ -229,10 +234,13 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 def encode_and_decode(docs: DataFrame, model: str) -> DataFrame:
     """``(doc_id, ids, decoded)`` in one pass: the ids and what they decode to."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, dec = Encoder(model), Decoder(model)
+        enc = worker_cached(("pieces", model), lambda: Encoder(model))
+        dec = Decoder(enc.model)
         for pdf in batches:
-            ids = list(enc.encode(pdf["text"].tolist()))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "ids": ids, "decoded": list(map(dec.decode, ids))})
+            doc_id, texts = pdf["doc_id"].astype("Int64"), pdf["text"].tolist()
+            for a, b in blocks(texts):
+                ids = enc.encode_block(texts[a:b])
+                yield pd.DataFrame({"doc_id": doc_id[a:b], "ids": ids, "decoded": list(map(dec.decode, ids))})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")) \
                .mapInPandas(run, "doc_id long, ids binary, decoded string")
@@ -252,13 +260,15 @@ def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
     model = model or public_tokenizers.path("piece_bpe_32k.model")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, dec = Encoder(model), Decoder(model)
+        enc = worker_cached(("pieces", model), lambda: Encoder(model))
+        dec = Decoder(enc.model)
         for pdf in batches:
-            texts = pdf["text"].tolist()
-            ids = list(enc.encode(texts))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "n_tokens": [len(x) // 4 for x in ids],
-                                "ids": [np.frombuffer(x, "<i4") for x in ids],
-                                "lossless": [dec.decode(x) == t for x, t in zip(ids, texts)]})
+            doc_id, texts = pdf["doc_id"].astype("Int64"), pdf["text"].tolist()
+            for a, b in blocks(texts):
+                ids = enc.encode_block(texts[a:b])
+                yield pd.DataFrame({"doc_id": doc_id[a:b], "n_tokens": [len(x) // 4 for x in ids],
+                                    "ids": [np.frombuffer(x, "<i4") for x in ids],
+                                    "lossless": [dec.decode(x) == t for x, t in zip(ids, texts[a:b])]})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")) \
                .mapInPandas(run, "doc_id long, n_tokens long, ids array<int>, lossless boolean")
