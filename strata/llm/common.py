@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+import pyspark
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +39,12 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def worker_cached(key: tuple, make: Callable):
+    """``make()``, kept as long as the Python worker lives: its next tasks find
+    vocabularies and remembered words in place.  One object per kind, key[0]."""
+    held = vars(pyspark).setdefault("_strata_worker_cache", {})
+    if held.get(key[0], (None, None))[0] != key:
+        held[key[0]] = key, make()
+    return held[key[0]][1]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import read_table, shared_folder, store, text_of
+from .common import read_table, shared_folder, store, text_of, worker_cached
 
 END_ID = 1
 FRAME_TOKENS = 65536
@@ -40,7 +40,7 @@ SKIPPABLE_SEEK_TABLE = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
-MEMO_FIELDS = 300_000
+MEMO_FIELDS = 500_000
 MEMO_FIELD_BYTES = 64
 
 
@@ -212,7 +212,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         n = tokens = 0
         for pdf in batches:
             if out is None:
-                enc, out = FieldEncoder(tokenizer), TokenFileWriter(path, frame_tokens)
+                out = TokenFileWriter(path, frame_tokens)
+                enc = worker_cached(("fields", tokenizer), lambda: FieldEncoder(tokenizer))
             for d, void, text in zip(pdf["doc_id"], pdf["void"], pdf["text"]):
                 ids = enc.encode(text) + end
                 out.add(None if void else int(d), ids)
@@ -251,8 +252,8 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         pdf = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
         return pdf.astype({"doc_id": "Int64"})
 
-    # files of about equal size: one to a task
-    spread = manifest.repartition(F.col("path"))
+    # files of about equal size, dealt over as many tasks (a given number is not coalesced)
+    spread = manifest.repartition(max(1, manifest.count()), "path")
     return spread.mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
