@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (embedding_dedup, html_text, line_dedup, mixing, phrases, quality_rules, repeats, secrets, sentencepieces, simhash,
-               token_counts, token_files)
+from . import (embedding_dedup, html_text, line_dedup, mixing, negatives, phrases, quality_rules, repeats, secrets, sentencepieces,
+               simhash, token_counts, token_files)
 
 QUERIES = {
     "op1_token_files": token_files.query,
@@ -16,11 +16,13 @@ QUERIES = {
     "op8_embedding_near_dedup": embedding_dedup.query,
     "op9_repeated_strings": repeats.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_hard_negatives": negatives.query,
     "op12_main_text": html_text.query,
     "op13_phrases": phrases.query,
 }
 
 ORACLES = {
     "op5_mix_sources": mixing.ORACLE_SQL,
+    "op11_hard_negatives": negatives.ORACLE_SQL,
     "op13_phrases": phrases.ORACLE_SQL,
 }
