@@ -41,8 +41,9 @@ from .common import read_table, store
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-CHUNK_WORDS = 1 << 22
+CHUNK_WORDS = 1 << 21
 SLICE_BYTES = 1 << 21
+SLICE = 1 << 18
 BUCKET_ROWS = 1 << 21  # occurrences per bucket: more than the entries that a merge holds
 FAN_BITS = 6  # buckets that a filter is cut into at once, and filters that are merged at once
 MAP_BITS = 26
@@ -312,7 +313,9 @@ def _position(limbs: list[np.ndarray], map_bits: int) -> np.ndarray:
 
 # ----------------------------------------------------------- counting phrases
 def _keys(x: np.ndarray, at: np.ndarray, length: int, bits: int) -> list[np.ndarray]:
-    return pack(permute([x[at + j] for j in range(length)], bits), bits)
+    """Permuted keys of the phrases that begin ``at`` some places, in slices that keep the scratch arrays small."""
+    parts = [pack(permute([x[at[s:s + SLICE] + j] for j in range(length)], bits), bits) for s in range(0, max(len(at), 1), SLICE)]
+    return [np.concatenate(limb) for limb in zip(*parts)]
 
 
 def _starts(x: np.ndarray, length: int, bits: int, maps: dict, map_bits: int) -> np.ndarray:
