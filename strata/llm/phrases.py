@@ -30,12 +30,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.sources.landing import with_row_id
-
 from .common import read_table, store
 
 LEAST = 100
@@ -88,7 +87,7 @@ class Chunk:
     def batches(self, chunk: int) -> Iterator[pa.RecordBatch]:
         x = _without_runs(np.concatenate(self.parts), SEPARATOR)
         counts = np.bincount(x, minlength=2)
-        yield _batch([chunk], [None], [None], [None], [None], [x.tobytes()])
+        yield _batch([chunk], [None], [None], [None], [None], [_zipped(x)])
         for lang, known in self.words.items():
             words = [w for w in known if w not in (b"\n", b"")]
             at = np.array([known[w] for w in words], np.int32)
@@ -104,6 +103,14 @@ def _batch(chunk, lang, word, local, n, ids) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=["chunk", "lang", "word", "local", "n", "ids"])
 
 
+def _zipped(x: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(x.tobytes())
+
+
+def _unzipped(raw: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
+
+
 def _without_runs(x: np.ndarray, mark: int) -> np.ndarray:
     """``x`` with runs of ``mark`` as one."""
     if not len(x):
@@ -138,23 +145,74 @@ def chunks_of(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     return store(d.mapInArrow(cut, "chunk long, lang string, word string, local int, n long, ids binary"), "phrase-chunks")
 
 
-def numbered(chunks: DataFrame, vocabulary: DataFrame, wide: bool) -> DataFrame:
+def vocabulary_of(chunks: DataFrame, least: int) -> tuple[DataFrame, dict[int, int], int]:
+    """Words that occur ``least`` times or more in a language, per chunk that has them.
+
+    Rows ``(chunk, local, part, seq, lang, word, n, f)``: word number ``seq`` of
+    partition ``part`` of the words, with its count in the chunk and in all.  ``f`` is
+    set in one row per word.  Also the number before each partition's first word
+    (one small row per partition reaches the driver), and how many words there are.
+
+    Words are dealt by hash and sorted, so all rows of a word lie side by side: one
+    shuffle gives counts, numbers and their way back to the chunks.
+    """
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, seq, held = TaskContext.get().partitionId(), 0, None
+        names = ["chunk", "local", "part", "seq", "lang", "word", "n", "f"]
+        for pdf in itertools.chain(batches, [None]):  # None ends the last word
+            if pdf is not None and held is not None:
+                pdf = pd.concat([held, pdf], ignore_index=True)
+            pdf = held if pdf is None else pdf
+            if pdf is None or not len(pdf):
+                continue
+            lang, word, n = (pdf[c].to_numpy() for c in ("lang", "word", "n"))
+            starts = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (lang[1:] != lang[:-1])])
+            whole = pdf is held or len(starts)  # the last word may go on in the next batch
+            upto = len(pdf) if pdf is held else starts[-1]
+            held = None if pdf is held else pdf.iloc[upto:]
+            if not upto or not whole:
+                continue
+            starts = starts[starts < upto]
+            total = np.add.reduceat(n[:upto], starts)
+            number = np.where(total >= least, np.cumsum(total >= least) - 1 + seq, -1)
+            seq += int((total >= least).sum())
+            sizes = np.diff(np.r_[starts, upto])
+            of = np.repeat(number, sizes)
+            first = np.zeros(upto, bool)
+            first[starts] = True
+            keep = of >= 0
+            some = pdf.iloc[:upto][keep]
+            f = pd.Series(np.repeat(total, sizes)[keep], dtype="Int64", index=some.index).where(first[keep])
+            if len(some):
+                yield some.assign(part=part, seq=of[keep], f=f)[names]
+
+    rows = chunks.where("word IS NOT NULL").select("chunk", "local", "lang", "word", "n")
+    rows = rows.repartition("lang", "word").sortWithinPartitions("lang", "word")
+    rows = store(rows.mapInPandas(pick, "chunk long, local int, part int, seq long, lang string, word string, n long, f long"), "phrase-words")
+    sizes = rows.where("f IS NOT NULL").groupBy("part").count().orderBy("part").collect()
+    before, size = {}, 0
+    for r in sizes:
+        before[r["part"]], size = size, size + r["count"]
+    return rows, before, size
+
+
+def numbered(chunks: DataFrame, words: DataFrame, before: dict[int, int], wide: bool) -> DataFrame:
     """``(chunk, ids)``: the chunks in numbers of the vocabulary; -1 ends a run of its words."""
     kind = np.int64 if wide else np.int32
-    found = (chunks.where("word IS NOT NULL").select("chunk", "lang", "word", "local")
-             .join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).select(F.col("chunk").alias("within"), "local", "id"))
 
     def rewrite(key: tuple, body: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        first = words["part"].map(before).to_numpy() if len(words) else 0
         out = []
         for raw in body["ids"]:
-            x = np.frombuffer(raw, np.int32)
+            x = _unzipped(raw, np.int32)
             to = np.full(int(x.max(initial=0)) + 1, -1, kind)
-            to[words["local"].to_numpy()] = words["id"].to_numpy()
+            to[words["local"].to_numpy()] = words["seq"].to_numpy() + first
             to[SEPARATOR] = -1
-            out.append((key[0], _without_runs(to[x], -1).tobytes()))
+            out.append((key[0], _zipped(_without_runs(to[x], -1))))
         return pd.DataFrame(out, columns=["chunk", "ids"])
 
     bodies = chunks.where("ids IS NOT NULL").select("chunk", "ids")
+    found = words.select(F.col("chunk").alias("within"), "local", "part", "seq")
     return store(bodies.groupBy("chunk").cogroup(found.groupBy("within")).applyInPandas(rewrite, "chunk long, ids binary"), "phrase-ids")
 
 
@@ -345,7 +403,7 @@ def frequent(ids: DataFrame, length: int, bits: int, wide: bool, maps, occurrenc
         held = maps.value if maps is not None else {}
         for pdf in batches:
             for chunk, raw in zip(pdf["chunk"], pdf["ids"]):
-                x = np.frombuffer(raw, kind).astype(np.int64)
+                x = _unzipped(raw, kind).astype(np.int64)
                 at = _starts(x, length, bits, held, map_bits)
                 limbs, counts = summed(_keys(x, at, length, bits), np.ones(len(at), np.int64))
                 rows = list(shape.split(limbs, counts, 0, known))
@@ -408,14 +466,14 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     """
     spark = docs.sparkSession
     chunks = chunks_of(docs, chunk_words)
-    words = chunks.where("word IS NOT NULL").groupBy("lang", "word").agg(F.sum("n").alias("f"))
-    words = store(words, "phrase-words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    vocabulary = store(with_row_id(words.where(F.col("f") >= least), ["lang", "word"], name="id", start=0), "phrase-vocabulary")
-    size, occurrences = vocabulary.agg(F.count("*"), F.coalesce(F.sum("f"), F.lit(0))).first()
+    totals = chunks.where("word IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    words, before, size = vocabulary_of(chunks, least)
     bits = max(1, max(size - 1, 0).bit_length())
     wide = size >= 1 << 31
-    ids = numbered(chunks, vocabulary, wide)
+    ids = numbered(chunks, words, before, wide)
+    first = F.element_at(F.create_map(*[F.lit(v) for kv in before.items() for v in kv]), F.col("part")) if before else F.lit(0)
+    vocabulary = store(words.where("f IS NOT NULL").select((F.col("seq") + first).cast("long").alias("id"), "lang", "word", "f"), "phrase-vocabulary")
+    occurrences = vocabulary.agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
     number = ids.count()
     counted = [vocabulary.select(F.array("id").alias("ids"), "f")]
     maps: dict[int, np.ndarray] = {}
