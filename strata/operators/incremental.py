@@ -69,6 +69,32 @@ def incremental_slice(df: DataFrame, ts_col: str, target: DataFrame | None, wm_c
     return out.filter(ts >= wm if inclusive else ts > wm).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def region_marks(target: DataFrame | None, wm_col: str, by: str) -> dict[str, object] | None:
+    """Newest instant per value of ``by`` (trimmed, upper case); None without a
+    target.  One small row per source reaches the driver."""
+    if target is None:
+        return None
+    rows = target.groupBy(F.upper(F.trim(F.col(by).cast("string"))).alias("by")).agg(F.max(F.col(wm_col).cast("timestamp")).alias("wm")).collect()
+    return {r["by"]: r["wm"] for r in rows}
+
+
+def partitions_since(df: DataFrame, marks: dict[str, object] | None, by: str, day: str) -> DataFrame:
+    """Rows of the day partitions that can hold rows as new as their source's mark.
+
+    ``by`` and ``day`` are partition columns and the marks are literals, so the
+    other folders are neither listed in the plan's files nor read.  Sources
+    without a mark, and rows without a day, stay.
+    """
+    if not marks:
+        return df
+    source = F.upper(F.trim(F.col(by).cast("string")))
+    new = F.col(day).isNull() | F.col(by).isNull() | ~source.isin([k for k in marks if k is not None])
+    for k, wm in marks.items():
+        if k is not None:
+            new = new | ((source == k) & (F.lit(True) if wm is None else F.col(day) >= F.lit(wm).cast("date")))
+    return df.where(new)
+
+
 def sync_columns(target: DataFrame, schema: T.StructType) -> DataFrame:
     """``target`` re-shaped to ``schema``: new columns NULL, vanished ones dropped,
     common ones cast to the new type."""
@@ -110,23 +136,44 @@ def upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str],
     return kept.unionByName(updates)
 
 
+def changed_rows(batch: DataFrame, stored: DataFrame | None, ignore: Sequence[str] = ()) -> DataFrame:
+    """The rows of a batch that a merge would change or add: those without an
+    equal stored row (in all columns but ``ignore``).
+
+    Joined on a hash of the columns, then compared in full.
+    """
+    if stored is None:
+        return batch
+    cols = [c for c in batch.columns if c not in ignore]
+    if any(c not in stored.columns for c in cols):
+        return batch
+    digest = F.xxhash64(*[F.col(f"`{c}`") for c in cols])
+    old = stored.select(digest.alias("__hash"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__old"))
+    new = batch.withColumn("__own", digest)
+    same = (F.col("__own") == F.col("__hash")) & F.struct(*[new[f"`{c}`"] for c in cols]).eqNullSafe(F.col("__old"))
+    return new.join(old, same, "left_anti").drop("__own")
+
+
 class VersionedTable:
     """Parquet versions in ``<path>/data`` and one commit record each in ``<path>/log``.
 
     A version's folder has a name of its own and is never written again; its
-    record (one row: version, folder) is written last, under the version's
-    number and without overwriting, so of two writers one fails.  The newest
-    record names the current version.
+    record (one row: version, folder, and the epoch of the stream's batch, if
+    any) is written last, under the next free number and without overwriting, so
+    of two writers that publish at once one fails.  The newest record names the
+    current version.  What a writer that died left of a record counts as none,
+    and its number is not used again.
     """
 
+    RECORD = "version long, folder string, epoch long"
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
     def _log(self) -> DataFrame | None:
         from ..session import read_parquet_or_none
-        log = read_parquet_or_none(self.spark, f"{self.path}/log/*")
-        return log if log is not None and "version" in log.columns else None
+        return read_parquet_or_none(self.spark, f"{self.path}/log/*", self.RECORD)
 
     def _current(self):
         log = self._log()
@@ -141,18 +188,24 @@ class VersionedTable:
         row = self._current() if version is None else self._log().where(F.col("version") == version).first()
         return None if row is None else self.spark.read.parquet(f"{self.path}/data/{row['folder']}")
 
-    def commit(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        v = (self.current_version() or 0) + 1
+    def has_epoch(self, epoch: int) -> bool:
+        """Whether a stream's batch of this epoch is in the table."""
+        log = self._log()
+        return log is not None and not log.where(F.col("epoch") == epoch).isEmpty()
+
+    def commit(self, df: DataFrame, partition_by: Sequence[str] = (), epoch: int | None = None) -> int:
+        from ..session import child_names
+        v = max([int(n) for n in child_names(self.spark, f"{self.path}/log") if n.isdigit()], default=0) + 1
         folder = f"v{v}-{uuid.uuid4().hex[:12]}"
         w = df.write.mode("error")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.path}/data/{folder}")
-        self._publish(v, folder)
+        self._publish(v, folder, epoch)
         return v
 
-    def _publish(self, v: int, folder: str) -> None:
-        (self.spark.createDataFrame([(v, folder)], "version long, folder string")
+    def _publish(self, v: int, folder: str, epoch: int | None = None) -> None:
+        (self.spark.createDataFrame([(v, folder, epoch)], self.RECORD)
              .coalesce(1).write.mode("error").parquet(f"{self.path}/log/{v:012d}"))
 
     def vacuum(self, keep: int = 2) -> list[int]:
@@ -176,23 +229,35 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"the batch repeats keys {list(keys)}, e.g. {[tuple(r)[:-1] for r in twice]}")
 
 
+def settled_batch(updates: DataFrame, keys: Sequence[str], collapse_order: Sequence | None = None) -> DataFrame:
+    """The batch of a merge, computed once and reread, with one row per key:
+    collapsed by ``collapse_order``, or rejected if it repeats a key."""
+    from ..session import scratch_path
+    if collapse_order is not None:
+        updates = latest_per_key(updates, keys, collapse_order)
+    path = scratch_path(updates.sparkSession, f"batch-{uuid.uuid4().hex[:12]}")
+    updates.write.parquet(path)
+    batch = updates.sparkSession.read.schema(updates.schema).parquet(path)
+    if collapse_order is None:
+        require_unique(batch, keys)
+    return batch
+
+
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
                  collapse_order: Sequence | None = None,
-                 partition_by: Sequence[str] = ()) -> DataFrame:
+                 partition_by: Sequence[str] = (), epoch: int | None = None) -> DataFrame:
     """Upsert ``updates`` into the versioned table at ``path``; return the new version.
 
     A batch that repeats a key is collapsed by ``collapse_order``, or rejected
-    without it.  An empty batch leaves the stored version as it is.
+    without it.  An empty batch leaves the stored version as it is.  The batch is
+    computed once.  ``epoch`` is recorded with the version.
     """
     table = VersionedTable(spark, path)
     stored = table.read()
-    if collapse_order is not None:
-        updates = latest_per_key(updates, keys, collapse_order)
-    else:
-        require_unique(updates, keys)
-    if stored is not None and updates.isEmpty():
+    batch = settled_batch(updates, keys, collapse_order)
+    if stored is not None and batch.isEmpty():
         return stored
-    table.commit(upsert(stored, updates, keys), partition_by)
+    table.commit(upsert(stored, batch, keys), partition_by, epoch)
     return table.read()
 
 

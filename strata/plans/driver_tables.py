@@ -271,6 +271,9 @@ PRODUCT_CATEGORY_GROUPS = {"ECONOMY": "Value", "PROMO": "Promotion", "STANDARD":
                            "LARGE": "Bulk"}
 PRODUCT_PRICE_RULES = ((930, "Low"), (970, "Medium"))
 CALENDAR = ("1995-01-01", "2024-12-31")
+
+# Columns whose dates the calendar dimension covers.
+DATED = [("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts")]
 AS_OF = "2026-01-01 00:00:00"
 
 

@@ -34,6 +34,20 @@ def build_dim_date(spark: SparkSession, start: str = DEFAULT_SPINE_START,
     return date_spine(spark, start, end).select(*calendar_columns("dt"))
 
 
+def build_dim_date_covering(spans: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """One row per calendar day from the least to the greatest date of some
+    columns, so no fact row falls outside; no date at all gives no rows.
+
+    The bounds are one row (partial and final aggregates), the days follow from them.
+    """
+    bounds = None
+    for df, c in spans:
+        d = df.agg(F.min(F.col(c)).cast("date").alias("lo"), F.max(F.col(c)).cast("date").alias("hi"))
+        bounds = d if bounds is None else bounds.unionAll(d)
+    days = bounds.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo IS NOT NULL")
+    return days.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("dt")).select(*calendar_columns("dt"))
+
+
 def build_dim_park(spark: SparkSession, parks: Sequence[tuple[int, str, str]]) -> DataFrame:
     """Static park rows ``(park_key, park_code, park_name)`` (a literal UNION ALL)."""
     return spark.createDataFrame(list(parks), "park_key int, park_code string, park_name string")

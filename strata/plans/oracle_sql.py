@@ -308,7 +308,7 @@ SILVER = {
 # ----------------------------------------------------------------------- gold
 
 def dim_date() -> str:
-    a, b = D.CALENDAR
+    spans = " UNION ALL ".join(f"SELECT CAST(min({c}) AS DATE) AS lo, CAST(max({c}) AS DATE) AS hi FROM {t}" for t, c in D.DATED)
     return f"""
 SELECT CAST(strftime(dt, '%Y%m%d') AS INTEGER) AS date_key, strftime(dt, '%m/%d/%Y') AS date_iso,
   dt AS full_date, CAST(year(dt) AS INTEGER) AS year, CAST(quarter(dt) AS INTEGER) AS quarter,
@@ -316,7 +316,8 @@ SELECT CAST(strftime(dt, '%Y%m%d') AS INTEGER) AS date_key, strftime(dt, '%m/%d/
   CAST(day(dt) AS INTEGER) AS day, strftime(dt, '%A') AS weekday_name,
   CAST(dayofweek(dt) + 1 AS INTEGER) AS day_of_week, CAST(dayofyear(dt) AS INTEGER) AS day_of_year,
   strftime(dt, '%A') IN ('Friday', 'Saturday') AS is_weekend
-FROM (SELECT CAST(unnest(generate_series(DATE '{a}', DATE '{b}', INTERVAL 1 DAY)) AS DATE) AS dt)"""
+FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS dt
+  FROM (SELECT min(lo) AS lo, max(hi) AS hi FROM ({spans})))"""
 
 
 def dim_park() -> str:

@@ -62,7 +62,8 @@ class Warehouse:
     # ------------------------------------------------------------------- gold
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._get("dim_date", lambda: G.build_dim_date(self.spark, *D.CALENDAR))
+        return self._get("dim_date", lambda: G.build_dim_date_covering(
+            [(D.read(self.spark, self.sf_dir, t), c) for t, c in D.DATED]))
 
     @cached_property
     def dim_park(self) -> DataFrame:

@@ -93,23 +93,31 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_dir(spark), *[p.strip("/") for p in parts]])
 
 
-def read_parquet_or_none(spark: SparkSession, path: str, **options):
+def read_parquet_or_none(spark: SparkSession, path: str, schema: str | None = None, **options):
     """``spark.read.parquet(path)``, or ``None`` when the path does not exist.
-    Any other error is raised."""
+    Any other error is raised.  With a ``schema`` a folder may hold no data yet."""
     from pyspark.errors import AnalysisException
+    reader = spark.read.options(**options)
     try:
-        return spark.read.options(**options).parquet(path)
+        return (reader.schema(schema) if schema else reader).parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder (none if there is no such folder)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder through Hadoop's file system (whatever store holds it)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "read_parquet_or_none", "delete_path",
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "read_parquet_or_none", "child_names", "delete_path",
            "scale_conf", "DEFAULT_CONF"]

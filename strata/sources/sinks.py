@@ -1,4 +1,4 @@
-"""Table sinks: full refresh and keyed incremental (versioned) writes."""
+"""Table sinks: full refresh (published through the catalog) and keyed incremental writes."""
 
 from __future__ import annotations
 
@@ -7,18 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.incremental import upsert_table
+from .catalog import LayerCatalog
 from .landing import layer_path
 
 
 def write_table(df: DataFrame, root: str, layer: str, name: str,
-                partition_by: Sequence[str] = ()) -> str:
-    """Full refresh: overwrite ``<root>/<layer>/<name>`` (never the input path)."""
-    path = layer_path(root, layer, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+                partition_by: Sequence[str] = (), catalog: LayerCatalog | None = None) -> str:
+    """Full refresh of ``<root>/<layer>/<name>``; the folder of the new version.
+
+    The table is written beside the old one and counts once it is complete;
+    with a ``catalog`` its view is swapped to it, too.
+    """
+    folder = (catalog or LayerCatalog(df.sparkSession, root)).stage(df, layer, name, partition_by)
+    if catalog is not None:
+        catalog.swap(layer, name, folder)
+    return folder
 
 
 def write_incremental(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str,

@@ -1,5 +1,7 @@
-from strata.plans.layers import BRONZE_MODELS, landing_ri_report, load_landing, run_layers
+from strata.plans.layers import BRONZE_MODELS, bronze_table, landing_ri_report, load_landing, run_layers
+from strata.plans.warehouse import GOLD_MODELS
 from strata.sources import rekey_tenant
+from strata.sources.catalog import LayerCatalog
 
 import fixtures as X
 
@@ -35,15 +37,22 @@ def test_run_layers_two_parks_and_rerun(spark, tmp_root):
     assert report[("dim_customer", "unique(source_customer_id)")].failures == 0
     assert report[("dim_product", "not_null(list_price)")].failures == 2
     for name in BRONZE_MODELS:
-        assert spark.read.parquet(f"{tmp_root}/bronze/{name}").select("source_region").distinct().count() == 2
-    ft = spark.read.parquet(f"{tmp_root}/gold/fact_transaction")
-    first = ft.count()
+        assert bronze_table(spark, tmp_root, name[4:]).read().select("source_region").distinct().count() == 2
+    gold = LayerCatalog(spark, tmp_root)
+    first = gold.table("gold", "fact_transaction").count()
+    assert spark.table("gold.fact_transaction").count() == first
     # 4 valid lines in SF; the AQ copy also keeps the line whose park was
     # unknown, because the tenant copy sets park_code to 'AQ' on every row
     assert first == 9
-    # a second run sees no new rows: silver is unchanged, gold rebuilt the same
-    run_layers(spark, tmp_root, X.PARKS, as_of="2026-01-01 00:00:00")
-    assert spark.read.parquet(f"{tmp_root}/gold/fact_transaction").count() == first
+    # a second run sees no new rows: bronze, silver and gold stay as they are
+    batches = {n: bronze_table(spark, tmp_root, n[4:]).batches() for n in BRONZE_MODELS}
+    before = {m: gold.current("gold", m) for m in GOLD_MODELS}
+    again = run_layers(spark, tmp_root, X.PARKS, as_of="2026-01-01 00:00:00")
+    assert {n: bronze_table(spark, tmp_root, n[4:]).batches() for n in BRONZE_MODELS} == batches
+    changed = [m for m in GOLD_MODELS if gold.current("gold", m) != before[m]]
+    assert gold.table("gold", "fact_transaction").count() == first
+    assert {(r.model, r.test): r.failures for r in again.collect()} == {k: r.failures for k, r in report.items()}
+    assert changed == []
     # the command line re-runs the checks on the stored gold tables
     from strata.cli import main
     parks = '[[1, "SF", "Park one"], [2, "AQ", "Park two"]]'
