@@ -19,6 +19,11 @@ def dim_from_groups(df: DataFrame, keys: Sequence[str], attrs: Mapping[str, str]
     return df.groupBy(*keys).agg(*[_AGGS[f](F.col(c)).alias(c) for c, f in attrs.items()])
 
 
+def key_pool(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
+    """The distinct keys of a column, without NULL (partial + final aggregate)."""
+    return df.where(F.col(column).isNotNull()).select(F.col(column).alias(name or column)).distinct()
+
+
 def null_counts(df: DataFrame, cols: Sequence[str], prefix: str = "") -> DataFrame:
     """One row: NULL count per column, in one scan."""
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(prefix + c) for c in cols])

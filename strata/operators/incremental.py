@@ -277,30 +277,35 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys:
     to the table being replaced; finally the staged partitions replace theirs
     with a dynamic partition overwrite.  If that last step fails, running it
     again from the staged copy gives the same table.
+
+    The batch's schema becomes the table's: added, dropped and changed columns are
+    reconciled per partition (see ``stored_schema``).  Values of a dropped column stay
+    in the folders that no batch has touched since, unread unless the column comes back.
     """
     from ..session import read_parquet_or_none, scratch_path
-    if collapse_order is not None:
-        updates = latest_per_key(updates, keys, collapse_order)
-    else:
-        require_unique(updates, keys)
+    updates = settled_batch(updates, keys, collapse_order)
     # read with the batch's schema: partition values keep their declared
     # types instead of the types inferred from folder names
-    read = lambda p: spark.read.schema(updates.schema).parquet(p)
-    if read_parquet_or_none(spark, path) is None:
+    read = lambda p, schema=updates.schema: spark.read.schema(schema).parquet(p)
+    before = read_parquet_or_none(spark, path)
+    if before is None:
         updates.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return read(path)
-    stored = read(path)
+    stored_as, in_place = stored_schema(before.schema, updates.schema, partition_by)
+    stored = sync_columns(read(path, stored_as), updates.schema)
     new = updates.select(*keys, F.struct(*partition_by).alias("__new"))
     moved = (stored.select(*keys, F.struct(*partition_by).alias("__old")).join(new, list(keys))
              .where(~F.col("__old").eqNullSafe(F.col("__new"))).limit(3).collect())
     if moved:
         raise ValueError(f"keys change their partition, e.g. {[tuple(r)[:len(keys)] for r in moved]}")
-    touched = updates.select(*[F.col(c).alias(f"__t_{c}") for c in partition_by]).distinct()
-    cond = None
-    for c in partition_by:
-        e = stored[c].eqNullSafe(touched[f"__t_{c}"])
-        cond = e if cond is None else (cond & e)
-    old = stored.join(touched, cond, "left_semi")
+    old = stored
+    if in_place:
+        touched = updates.select(*[F.col(c).alias(f"__t_{c}") for c in partition_by]).distinct()
+        cond = None
+        for c in partition_by:
+            e = stored[c].eqNullSafe(touched[f"__t_{c}"])
+            cond = e if cond is None else (cond & e)
+        old = stored.join(touched, cond, "left_semi")
     merged = upsert(old, updates.select(*stored.columns), keys, sync_schema=False)
     if staging is None:
         staging = scratch_path(spark, f"upsert-staging-{uuid.uuid4().hex[:12]}")
@@ -308,3 +313,28 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys:
     (read(staging).select(*stored.columns).write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
     return read(path)
+
+
+_WIDEST = {T.ByteType: T.LongType(), T.ShortType: T.LongType(), T.IntegerType: T.LongType(), T.LongType: T.LongType(),
+           T.FloatType: T.DoubleType(), T.DoubleType: T.DoubleType()}
+
+
+def stored_schema(stored: T.StructType, wanted: T.StructType, partition_by: Sequence[str]) -> tuple[T.StructType, bool]:
+    """How to read partitions of different age for a batch of schema ``wanted``.
+
+    Returns the schema to read with, and whether folders that the batch does not
+    touch may stay as they are: columns that they lack read as NULL, dropped ones
+    are passed over, and whole (or floating) numbers of less width are widened by the reader.
+    Any other change of a type means that every partition is rewritten once.
+    """
+    have, fields, in_place = {f.name: f.dataType for f in stored.fields}, [], True
+    for f in wanted.fields:
+        old = have.get(f.name, f.dataType)
+        if f.name in partition_by or old == f.dataType:
+            fields.append(f)
+        elif _WIDEST.get(type(old)) == f.dataType:
+            fields.append(f)
+        else:
+            fields.append(T.StructField(f.name, _WIDEST.get(type(old), old), True))
+            in_place = False
+    return T.StructType(fields), in_place

@@ -114,6 +114,17 @@ def reconcile(pairs: Sequence[ReconcilePair], min_ratio: float = 0.95,
         one = g.crossJoin(sc).select(F.lit(p.name).alias("fact_table"), "gold_count",
                                      "silver_count")
         rows = one if rows is None else rows.unionByName(one)
+    return _judged(rows, min_ratio, failing_only)
+
+
+def reconcile_counts(spark, counts: Sequence[tuple[str, int, int]], min_ratio: float = 0.95, failing_only: bool = True) -> DataFrame:
+    """``reconcile`` from counts ``(name, gold, silver)`` that are known already, such
+    as those observed while the layers were written: no table is read again."""
+    rows = spark.createDataFrame([tuple(c) for c in counts], "fact_table string, gold_count long, silver_count long")
+    return _judged(rows, min_ratio, failing_only)
+
+
+def _judged(rows: DataFrame, min_ratio: float, failing_only: bool) -> DataFrame:
     out = rows.select(
         "fact_table", "gold_count", "silver_count",
         ratio_pct("gold_count", "silver_count").alias("retention_pct"),
@@ -303,61 +314,72 @@ def _failure_count(df: DataFrame, chk: Check) -> Column:
     raise ValueError(chk.kind)
 
 
-def _unique_failures(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
-    """All uniqueness checks of one table in one shuffle.
+def _key_hash(*cols: Column) -> Column:
+    """64-bit hash of a key's texts."""
+    return F.xxhash64(*[c.cast("string") for c in cols])
 
-    Each row emits one ``(check, key)`` entry per check (the key as an array
-    of texts; single-column checks skip NULL keys), one grouped count finds
-    the duplicated keys, and a second, tiny aggregate counts them per check.
-    """
-    entries = []
-    for i, c in enumerate(checks):
-        cols = [c.column] if c.kind == "unique" else list(c.columns)
-        e = F.struct(F.lit(i).alias("cid"),
-                     F.array(*[F.col(x).cast("string") for x in cols]).alias("key"))
-        if c.kind == "unique":
-            e = F.when(F.col(c.column).isNotNull(), e)
-        entries.append(e)
-    exploded = (df.select(F.explode(F.array(*entries)).alias("u"))
-                  .filter(F.col("u").isNotNull()).select("u.cid", "u.key"))
-    dup = (exploded.groupBy("cid", "key").agg(F.count(F.lit(1)).alias("n"))
-                   .filter(F.col("n") > 1).groupBy("cid").agg(F.count(F.lit(1)).alias("f")))
+
+def _labels(df: DataFrame, model: str, checks: Sequence[Check], failures: DataFrame) -> DataFrame:
     labels = df.sparkSession.createDataFrame(
         [(i, model, c.label(), c.severity) for i, c in enumerate(checks)],
         "cid int, model string, test string, severity string")
-    return (labels.join(dup, "cid", "left")
+    return (labels.join(failures, "cid", "left")
                   .select("model", "test", F.coalesce(F.col("f"), F.lit(0)).cast("long").alias("failures"),
                           "severity"))
 
 
+def _unique_failures(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
+    """All uniqueness checks of one table: hashed counts first, exact keys where a hash repeats.
+
+    Each row emits one ``(check, hash of the key)`` per check (single-column
+    checks skip NULL keys), and only these numbers are counted and shuffled.
+    Keys whose hash is held once are unique.  The rows of the other hashes
+    are counted by their keys themselves (as arrays of texts), so keys that merely share
+    a hash are told apart.
+    """
+    def entries(*more: str) -> DataFrame:
+        out = []
+        for i, c in enumerate(checks):
+            cols = [F.col(c.column)] if c.kind == "unique" else [F.col(x) for x in c.columns]
+            own = {"key": F.array(*[x.cast("string") for x in cols])}
+            e = F.struct(F.lit(i).alias("cid"), _key_hash(*cols).alias("h"), *[own[m].alias(m) for m in more])
+            out.append(F.when(F.col(c.column).isNotNull(), e) if c.kind == "unique" else e)
+        return (df.select(F.explode(F.array(*out)).alias("u")).filter(F.col("u").isNotNull())
+                  .select("u.cid", "u.h", *[f"u.{m}" for m in more]))
+
+    again = entries().groupBy("cid", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("cid", "h")
+    dup = (entries("key").join(again, ["cid", "h"], "left_semi").groupBy("cid", "key").agg(F.count(F.lit(1)).alias("n"))
+           .filter(F.col("n") > 1).groupBy("cid").agg(F.count(F.lit(1)).alias("f")))
+    return _labels(df, model, checks, dup)
+
+
 def _fk_failures(df: DataFrame, model: str, checks: Sequence[Check],
                  tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All foreign-key checks of one table with one scan of it.
+    """All foreign-key checks of one table with one scan of it, on hashed keys.
 
-    The child emits ``(check, key)`` per non-NULL foreign key and is counted
-    per distinct pair (partial + final aggregate, so a hot key is one row per
-    map task); the parents' key sets are tagged with the check id and
-    unioned; one anti join on (check, key) leaves the orphan keys.
+    The child emits ``(check, hash, second hash)`` per non-NULL foreign key and
+    is counted per distinct key (partial + final aggregate, so a hot key is
+    one row per map task); the parents' keys are hashed alike and unioned.  One
+    anti join leaves the keys without a parent.  Keys of one hash are told apart by
+    the second, independent one (a 32-bit hash and the length), so that no text is shuffled.
     """
-    entries = [F.when(F.col(c.column).isNotNull(),
-                      F.struct(F.lit(i).alias("cid"), F.col(c.column).cast("string").alias("key")))
+    def numbers(c: Column) -> list[Column]:
+        t = c.cast("string")
+        other = F.shiftleft(F.length(t).cast("long"), 32).bitwiseOR(F.hash(t, F.lit(1)).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+        return [_key_hash(c).alias("h"), other.alias("h2")]
+
+    entries = [F.when(F.col(c.column).isNotNull(), F.struct(F.lit(i).alias("cid"), *numbers(F.col(c.column))))
                for i, c in enumerate(checks)]
     child = (df.select(F.explode(F.array(*entries)).alias("u")).filter(F.col("u").isNotNull())
-               .groupBy(F.col("u.cid").alias("cid"), F.col("u.key").alias("key"))
+               .groupBy(F.col("u.cid").alias("cid"), F.col("u.h").alias("h"), F.col("u.h2").alias("h2"))
                .agg(F.count(F.lit(1)).alias("n")))
     parents = None
     for i, c in enumerate(checks):
-        p = tables[c.parent].select(F.lit(i).alias("cid"),
-                                    F.col(c.parent_column).cast("string").alias("key"))
+        p = tables[c.parent].where(F.col(c.parent_column).isNotNull()).select(F.lit(i).alias("cid"), *numbers(F.col(c.parent_column)))
         parents = p if parents is None else parents.unionByName(p)
-    missing = (child.join(parents, ["cid", "key"], "left_anti")
+    missing = (child.join(parents, ["cid", "h", "h2"], "left_anti")
                     .groupBy("cid").agg(F.sum("n").alias("f")))
-    labels = df.sparkSession.createDataFrame(
-        [(i, model, c.label(), c.severity) for i, c in enumerate(checks)],
-        "cid int, model string, test string, severity string")
-    return (labels.join(missing, "cid", "left")
-                  .select("model", "test", F.coalesce(F.col("f"), F.lit(0)).cast("long").alias("failures"),
-                          "severity"))
+    return _labels(df, model, checks, missing)
 
 
 def run_suite(tables: Mapping[str, DataFrame], suite: Mapping[str, Sequence[Check]]) -> DataFrame:
@@ -403,6 +425,6 @@ def with_severity(failing: DataFrame, severity: str) -> DataFrame:
 
 
 __all__ = ["check_unique", "check_not_null", "check_accepted", "check_range", "check_expr",
-           "check_fk", "check_at_least_one", "check_count", "ReconcilePair", "reconcile",
+           "check_fk", "check_at_least_one", "check_count", "ReconcilePair", "reconcile", "reconcile_counts",
            "inactive_dim_rows", "null_fk_report", "Relation", "ri_report", "Check",
            "run_suite", "with_severity", "orphan_count"]

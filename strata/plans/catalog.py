@@ -39,7 +39,9 @@ def queries() -> dict[str, Query]:
     for name in GOLD_MODELS:
         q[name] = _gold(name)
     from . import extra_queries as X
+    from . import storage_queries as Y
     q.update(X.queries())
+    q.update(Y.queries())
     return q
 
 
@@ -48,5 +50,7 @@ def oracle_sql() -> dict[str, str]:
     sql.update({name: f() for name, f in O.SILVER.items()})
     sql.update({name: f() for name, f in O.GOLD.items()})
     from . import extra_queries as X
+    from . import storage_queries as Y
     sql.update(X.oracle_sql())
+    sql.update(Y.oracle_sql())
     return sql

@@ -74,3 +74,29 @@ def test_ri_report(spark):
     assert (rep["mandatory"].total, rep["mandatory"].orphans, rep["mandatory"].status) == (4, 3, "FAIL")
     assert (rep["nullable"].total, rep["nullable"].orphans) == (2, 1)
     assert rep["nullable"].orphan_pct == 50.0
+
+
+def test_hashed_checks_tell_colliding_keys_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from strata.operators import quality as Q
+    child = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (2, "c", "y"), (None, "zz", "y"), (None, "q", None), (3, None, None), (4, None, None)], "id int, fk string, p string")
+    parent = spark.createDataFrame([("a",), ("c",), ("q",), (None,)], "pk string")
+    suite = {"child": [Q.Check("unique", column="id"), Q.Check("unique", column="fk"), Q.Check("unique_combination", columns=["id", "p"]),
+                       Q.Check("unique_combination", columns=["p"]), Q.Check("relationships", column="fk", parent="parent", parent_column="pk")]}
+
+    def report():
+        return {(r.test): r.failures for r in Q.run_suite({"child": child, "parent": parent}, suite).collect()}
+    want = {"unique(id)": 1, "unique(fk)": 0, "unique_combination(id,p)": 0, "unique_combination(p)": 3, "relationships(fk)": 2}
+    assert report() == want
+    # every key shares one of two hashes: the exact keys and the second hash still tell them apart
+    monkeypatch.setattr(Q, "_key_hash", lambda *cols: F.pmod(F.xxhash64(*[c.cast("string") for c in cols]), F.lit(2)))
+    assert report() == want
+    assert want["relationships(fk)"] == 2  # b and zz
+
+
+def test_observed_counts_equal_counted_ones(spark):
+    from strata.plans.warehouse import GOLD_FACTS, Warehouse, observed_reconciliation, reconciliation
+    w = Warehouse.materialized(spark, "/root/testdata/sf0.001", models=GOLD_FACTS)
+    a = sorted(map(tuple, observed_reconciliation(w).collect()))
+    assert a == sorted(map(tuple, reconciliation(w).collect())) and len(a) == 5
+    assert all(w.counts[m]["rows"] == df.count() for m, df in w.tables.items() if m in w.counts)

@@ -184,3 +184,22 @@ def test_bronze_second_batch(spark, tmp_root):
     got = append_bronze(spark, tmp_root, "staff")
     assert sorted((r.id, r.source_region) for r in got.collect()) == [
         ("1", "AQ"), ("1", "SF"), ("2", "SF"), ("3", "SF"), ("3", "SF"), ("4", "SF"), ("5", "SF"), ("6", "SF")]
+
+
+# --------------------------------------------- schema changes of a partitioned table
+def test_partitions_of_any_schema(spark, tmp_root):
+    from strata.operators import upsert_partitions
+    path, by = f"{tmp_root}/p", ["day"]
+    upsert_partitions(spark, path, spark.createDataFrame([(1, "a", 5, "old"), (2, "b", 6, "old"), (3, "c", 7, "old")], "k int, day string, n int, gone string"), ["k"], by)
+    # one column added, one dropped, one widened; partition c is not touched
+    batch = spark.createDataFrame([(1, "a", 1 << 40, "x"), (4, "b", 9, "y")], "k int, day string, n long, extra string")
+    files = lambda: {f.rsplit("/", 2)[1] for f in spark.read.parquet(path).where("day = 'c'").inputFiles()} and set(spark.read.parquet(path).where("day = 'c'").inputFiles())
+    before = files()
+    got = upsert_partitions(spark, path, batch, ["k"], by)
+    assert rows(got.select("k", "day", "n", "extra")) == [(1, "a", 1 << 40, "x"), (2, "b", 6, None), (3, "c", 7, None), (4, "b", 9, "y")]
+    assert "gone" not in got.columns and files() == before
+    # another kind of type: every partition is rewritten
+    batch = spark.createDataFrame([(4, "b", "nine", 1.5)], "k int, day string, n string, extra double")
+    got = upsert_partitions(spark, path, batch.drop("extra"), ["k"], by)
+    assert rows(got.select("k", "day", "n")) == [(1, "a", str(1 << 40)), (2, "b", "6"), (3, "c", "7"), (4, "b", "nine")] and files() != before
+    assert rows(spark.read.parquet(path).select("k", "n")) == rows(got.select("k", "n"))
