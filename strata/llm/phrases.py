@@ -1,9 +1,9 @@
 """Operator 13: phrase collocations from counting quotient filters.
 
 Texts are cut once into chunks of a few million words, held as numbers of the
-chunk's own words; the chunks' word counts, added up, give the vocabulary of
-words frequent enough to be part of a phrase, and the chunks are rewritten in
-numbers of that vocabulary.  Phrases are then counted length by length:
+chunk's own words; the chunks' words, dealt by hash, get their counts and
+numbers in all, and the chunks are rewritten in these.  Phrases are then counted
+length by length:
 
 * A phrase is packed as the numbers of its words.  An invertible permutation
   scrambles the packed key; its leading bits are the quotient, all others the
@@ -14,8 +14,8 @@ numbers of that vocabulary.  Phrases are then counted length by length:
   in rounds of bounded fan-in where there are many; counts below the least
   count go after the last merge.  Permuted keys spread evenly, so no bucket is hot,
   and a phrase of every document is one entry per chunk.
-* A phrase can only be frequent if the two shorter ones inside it are.  These
-  are known from the length before by a bit map of fixed size: a wrong hit
+* A phrase can only be frequent if the two shorter ones inside it (at first, its
+  words) are.  These are known from the length before by a bit map of fixed size: a wrong hit
   only counts a phrase that the least count then drops.
 
 Scores, and which phrases are part of longer ones, follow by joins.
@@ -145,12 +145,11 @@ def chunks_of(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     return store(d.mapInArrow(cut, "chunk long, lang string, word string, local int, n long, ids binary"), "phrase-chunks")
 
 
-def vocabulary_of(chunks: DataFrame, least: int) -> tuple[DataFrame, dict[int, int], int]:
-    """Words that occur ``least`` times or more in a language, per chunk that has them.
+def vocabulary_of(chunks: DataFrame) -> tuple[DataFrame, dict[int, int], int]:
+    """The words of each language, per chunk that has them.
 
-    Rows ``(chunk, local, part, seq, lang, word, n, f)``: word number ``seq`` of
-    partition ``part`` of the words, with its count in the chunk and in all.  ``f`` is
-    set in one row per word.  Also the number before each partition's first word
+    Rows ``(chunk, local, part, seq, lang, word, f)``: word number ``seq`` of
+    partition ``part`` of the words.  ``f``, its count in all, is set in one row per word.  Also the number before each partition's first word
     (one small row per partition reaches the driver), and how many words there are.
 
     Words are dealt by hash and sorted, so all rows of a word lie side by side: one
@@ -158,7 +157,7 @@ def vocabulary_of(chunks: DataFrame, least: int) -> tuple[DataFrame, dict[int, i
     """
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, seq, held = TaskContext.get().partitionId(), 0, None
-        names = ["chunk", "local", "part", "seq", "lang", "word", "n", "f"]
+        names = ["chunk", "local", "part", "seq", "lang", "word", "f"]
         for pdf in itertools.chain(batches, [None]):  # None ends the last word
             if pdf is not None and held is not None:
                 pdf = pd.concat([held, pdf], ignore_index=True)
@@ -174,21 +173,18 @@ def vocabulary_of(chunks: DataFrame, least: int) -> tuple[DataFrame, dict[int, i
                 continue
             starts = starts[starts < upto]
             total = np.add.reduceat(n[:upto], starts)
-            number = np.where(total >= least, np.cumsum(total >= least) - 1 + seq, -1)
-            seq += int((total >= least).sum())
             sizes = np.diff(np.r_[starts, upto])
-            of = np.repeat(number, sizes)
+            of = np.repeat(np.arange(len(starts)) + seq, sizes)
+            seq += len(starts)
             first = np.zeros(upto, bool)
             first[starts] = True
-            keep = of >= 0
-            some = pdf.iloc[:upto][keep]
-            f = pd.Series(np.repeat(total, sizes)[keep], dtype="Int64", index=some.index).where(first[keep])
-            if len(some):
-                yield some.assign(part=part, seq=of[keep], f=f)[names]
+            some = pdf.iloc[:upto]
+            f = pd.Series(np.repeat(total, sizes), dtype="Int64", index=some.index).where(first)
+            yield some.assign(part=part, seq=of, f=f)[names]
 
     rows = chunks.where("word IS NOT NULL").select("chunk", "local", "lang", "word", "n")
     rows = rows.repartition("lang", "word").sortWithinPartitions("lang", "word")
-    rows = store(rows.mapInPandas(pick, "chunk long, local int, part int, seq long, lang string, word string, n long, f long"), "phrase-words")
+    rows = store(rows.mapInPandas(pick, "chunk long, local int, part int, seq long, lang string, word string, f long"), "phrase-words")
     sizes = rows.where("f IS NOT NULL").groupBy("part").count().orderBy("part").collect()
     before, size = {}, 0
     for r in sizes:
@@ -197,7 +193,7 @@ def vocabulary_of(chunks: DataFrame, least: int) -> tuple[DataFrame, dict[int, i
 
 
 def numbered(chunks: DataFrame, words: DataFrame, before: dict[int, int], wide: bool) -> DataFrame:
-    """``(chunk, ids)``: the chunks in numbers of the vocabulary; -1 ends a run of its words."""
+    """``(chunk, ids)``: the chunks in numbers of all words; -1 ends a piece."""
     kind = np.int64 if wide else np.int32
 
     def rewrite(key: tuple, body: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
@@ -379,8 +375,8 @@ def _keys(x: np.ndarray, at: np.ndarray, length: int, bits: int) -> list[np.ndar
 def _starts(x: np.ndarray, length: int, bits: int, maps: dict, map_bits: int) -> np.ndarray:
     """Where phrases of ``length`` words begin whose shorter phrases may all be frequent."""
     ok = x >= 0
-    for m in range(2, length + 1):
-        ok = ok[:-1] & ok[1:] if len(ok) else ok
+    for m in range(1, length + 1):
+        ok = ok[:-1] & ok[1:] if m > 1 and len(ok) else ok
         if m < length:
             at = np.flatnonzero(ok)
             pos = _position(_keys(x, at, m, bits), map_bits).astype(np.int64)
@@ -400,7 +396,7 @@ def frequent(ids: DataFrame, length: int, bits: int, wide: bool, maps, occurrenc
     known = min(need, fan_bits + 2)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = maps.value if maps is not None else {}
+        held = maps.value
         for pdf in batches:
             for chunk, raw in zip(pdf["chunk"], pdf["ids"]):
                 x = _unzipped(raw, kind).astype(np.int64)
@@ -437,6 +433,16 @@ def frequent(ids: DataFrame, length: int, bits: int, wide: bool, maps, occurrenc
     return store(filters.groupBy("bucket").applyInPandas(last, "ids array<long>, f long, pos long"), f"phrases-{length}")
 
 
+def _placed(words: DataFrame, bits: int, map_bits: int) -> DataFrame:
+    """``(pos)``: the places of single words in the bit map."""
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            x = pdf["id"].to_numpy(np.int64)
+            yield pd.DataFrame({"pos": _position(_keys(x, np.arange(len(x)), 1, bits), map_bits).astype(np.int64)})
+
+    return words.select("id").mapInPandas(place, "pos long")
+
+
 def bit_map(phrases: DataFrame, map_bits: int = MAP_BITS) -> np.ndarray:
     """Bit map of 2 ** ``map_bits`` bits (8 MB) with the places of ``phrases`` set."""
     segment = max(map_bits - 6, 3)
@@ -467,20 +473,20 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     spark = docs.sparkSession
     chunks = chunks_of(docs, chunk_words)
     totals = chunks.where("word IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    words, before, size = vocabulary_of(chunks, least)
+    words, before, size = vocabulary_of(chunks)
     bits = max(1, max(size - 1, 0).bit_length())
     wide = size >= 1 << 31
     ids = numbered(chunks, words, before, wide)
     first = F.element_at(F.create_map(*[F.lit(v) for kv in before.items() for v in kv]), F.col("part")) if before else F.lit(0)
-    vocabulary = store(words.where("f IS NOT NULL").select((F.col("seq") + first).cast("long").alias("id"), "lang", "word", "f"), "phrase-vocabulary")
+    vocabulary = store(words.where(F.col("f") >= least).select((F.col("seq") + first).cast("long").alias("id"), "lang", "word", "f"), "phrase-vocabulary")
     occurrences = vocabulary.agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
     number = ids.count()
     counted = [vocabulary.select(F.array("id").alias("ids"), "f")]
-    maps: dict[int, np.ndarray] = {}
+    maps = {1: bit_map(_placed(vocabulary, bits, map_bits), map_bits)}
     for length in range(2, longest + 1):
         if not occurrences:
             break
-        held = spark.sparkContext.broadcast(maps) if maps else None
+        held = spark.sparkContext.broadcast(maps)
         found = frequent(ids, length, bits, wide, held, occurrences, number, least, bucket_rows, fan_bits, map_bits)
         occurrences = found.agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
         counted.append(found.select("ids", "f"))
