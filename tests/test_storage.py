@@ -193,7 +193,7 @@ def test_partitions_of_any_schema(spark, tmp_root):
     upsert_partitions(spark, path, spark.createDataFrame([(1, "a", 5, "old"), (2, "b", 6, "old"), (3, "c", 7, "old")], "k int, day string, n int, gone string"), ["k"], by)
     # one column added, one dropped, one widened; partition c is not touched
     batch = spark.createDataFrame([(1, "a", 1 << 40, "x"), (4, "b", 9, "y")], "k int, day string, n long, extra string")
-    files = lambda: {f.rsplit("/", 2)[1] for f in spark.read.parquet(path).where("day = 'c'").inputFiles()} and set(spark.read.parquet(path).where("day = 'c'").inputFiles())
+    files = lambda: {f for f in spark.read.parquet(path).inputFiles() if "day=c" in f}
     before = files()
     got = upsert_partitions(spark, path, batch, ["k"], by)
     assert rows(got.select("k", "day", "n", "extra")) == [(1, "a", 1 << 40, "x"), (2, "b", 6, None), (3, "c", 7, None), (4, "b", 9, "y")]
