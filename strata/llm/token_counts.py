@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,17 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import read_table, text_of
+from .common import read_table, text_of, worker_cached
 from .merges import MergeTable
 from .token_files import byte_chars
 
 CHUNK = 16384
-MEMO_FIELDS = 200_000
+MEMO_FIELDS = 600_000  # of each of two generations
 MEMO_FIELD_CHARS = 64
 MOST_STATES = 120_000
 MOST_STEPS = 20_000
-#: Unicode white space (fixed list of the standard).
-SPACES = frozenset("\t\n\x0b\x0c\r \x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B))))
 FIELD_BREAK = re.compile(r"[\x20\x09-\x0D]")
 # fixed values of the tokenizer: the pre-tokens that a quotation mark begins
 SHORT_ENDS = {"s", "t", "m", "d"}
@@ -69,6 +66,7 @@ class Compiled:
         self.end = "</w>"
         self.prefixes = {p[:k] for p in self.table.last for k in range(1, len(p.removesuffix(self.end)) + 1)}
         self.bytes = byte_chars()
+        self.pieces = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.kinds: dict[str, str] = {}
         self._reset()
 
@@ -134,9 +132,15 @@ class Compiled:
         return tokens
 
     def kind(self, c: str) -> str:
+        """Class of a character, by what the library does with it: its tables of
+        Unicode are its own, and newer than Python's."""
         k = self.kinds.get(c)
         if k is None:
-            k = "space" if c in SPACES else {"L": "letter", "N": "number"}.get(unicodedata.category(c)[0], "mark")
+            beside = self.pieces("a" + c)  # a letter joins, white space vanishes
+            if len(beside) == 1:
+                k = "letter" if beside[0][1][1] == 2 else "space"
+            else:
+                k = "number" if len(self.pieces(c + c)) == 2 else "mark"
             if len(self.kinds) < SHORT_LIMIT:
                 self.kinds[c] = k
         return k
@@ -218,11 +222,13 @@ class StateMap:
 
 class Counter(dict):
     """Token counts of texts; remembers the counts of white-space separated
-    fields from the start state."""
+    fields from the start state: when ``limit`` are held they become the older
+    generation, whose fields come back as they are met again."""
 
     def __init__(self, path: str, chunk: int = CHUNK, limit: int = MEMO_FIELDS):
         super().__init__()
         self.fst, self.chunk, self.limit = Compiled(path), chunk, limit
+        self.older: dict[bytes, int] = {}
         tok = Tokenizer.from_file(path)
         self.normalize = tok.normalizer.normalize_str
         with open(path, encoding="utf-8") as f:
@@ -235,10 +241,13 @@ class Counter(dict):
         return text.lower() if text.isascii() else self.normalize(text)
 
     def __missing__(self, field: bytes) -> int:
-        q, tokens = self.fst.run(self.fst.START, self._normal(field.decode()))
-        tokens += self.fst.close[q]
+        tokens = self.older.get(field)
+        if tokens is None:
+            q, tokens = self.fst.run(self.fst.START, self._normal(field.decode()))
+            tokens += self.fst.close[q]
         if len(field) <= MEMO_FIELD_CHARS:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[field] = tokens
         return tokens
@@ -302,7 +311,7 @@ def token_counts(docs: DataFrame, tokenizer: str, chunk: int = CHUNK) -> DataFra
     strings in a text count as one token each, as the library has them.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = Counter(tokenizer, chunk)
+        counter = worker_cached(("token-counts", tokenizer, chunk), lambda: Counter(tokenizer, chunk))
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "n_bytes": pdf["n_bytes"],
                                 "n_tokens": [counter.count(t) for t in pdf["text"]]})

@@ -121,3 +121,18 @@ def test_state_maps_compose_to_the_whole():
         m = counter.scan([counter.state_map(text[:at]), counter.state_map(text[at:])])
         q, tokens = counter.fst.run(0, m.head)
         assert tokens + m.tokens + counter.fst.close[q if m.exit is None else m.exit] == whole
+
+
+def test_counts_of_characters_newer_than_python_s_tables(tok):
+    counter = token_counts.Counter(WORD_BPE)
+    odd = [0x13808, 0x1385B, 0x1385C, 0x13988, 0x10D4A, 0x1E5D0, 0x16D60, 0x1C89, 0xA7CB, 0x2028, 0x3000, 0x85, 0x200B, 0x660, 0x2160, 0x1F600]
+    for c in map(chr, odd):
+        for text in (f"a{c}", c + c, f"1{c}2 {c}'s {c}.{c}"):
+            assert counter.count(text) == len(library_ids(tok, text)), hex(ord(c))
+
+
+def test_fields_of_the_older_generation_come_back(tok):
+    counter = token_counts.Counter(WORD_BPE, limit=5)
+    text = " ".join(f"word{i % 13} other{i}" for i in range(60)) + " ."
+    assert counter.count(text) == len(library_ids(tok, text)) == counter.count(text)
+    assert len(counter) <= 5 and len(counter.older) <= 5
