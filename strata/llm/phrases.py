@@ -1,6 +1,6 @@
 """Operator 13: phrase collocations from counting quotient filters.
 
-Texts are cut once into chunks of a few million words, held as numbers of the
+Texts are cut once into chunks of about a million words, held as numbers of the
 chunk's own words; the chunks' words, dealt by hash, get their counts and
 numbers in all, and the chunks are rewritten in these.  Phrases are then counted
 length by length:
@@ -40,8 +40,8 @@ from .common import read_table, store
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-CHUNK_WORDS = 1 << 21
-SLICE_BYTES = 1 << 21
+CHUNK_WORDS = 1 << 20
+SLICE_BYTES = 1 << 20
 SLICE = 1 << 18
 BUCKET_ROWS = 1 << 21  # occurrences per bucket: more than the entries that a merge holds
 FAN_BITS = 6  # buckets that a filter is cut into at once, and filters that are merged at once
