@@ -20,6 +20,22 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def sealed(df: DataFrame, **needed: Column) -> DataFrame:
+    """The ``needed`` columns and one struct ``__row`` of all of ``df``'s own, so
+    that nothing that is added can clash with their names."""
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    return df.select(*[c.alias(name) for name, c in needed.items()], row.alias("__row"))
+
+
+def unsealed(df: DataFrame, like: DataFrame, changed: dict[str, Column] | None = None, **more: Column) -> DataFrame:
+    """The columns of ``like`` out of ``__row``, some of them ``changed``, and some ``more``."""
+    taken = [c for c in more if c in like.columns]
+    if taken:
+        raise ValueError(f"the input has columns that the result adds: {taken}")
+    old = [(changed or {}).get(c, F.col(f"__row.c{i}")).alias(c) for i, c in enumerate(like.columns)]
+    return df.select(*old, *[c.alias(name) for name, c in more.items()])
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return it reread.
 

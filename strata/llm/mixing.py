@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, read_table, store, text_of
+from .common import WORD, read_table, sealed, store, text_of, unsealed
 
 #: Weights of the contract, by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -26,9 +26,11 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
-def random_key(doc_id: Column, seed: int) -> Column:
-    """60 random bits of a document, the same in every run."""
-    named = F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(f":{seed}"))
+def random_key(doc_id: Column, seed: int, text: Column | None = None) -> Column:
+    """60 random bits of a document, the same in every run.  Documents without an id
+    are told apart by their texts, so they do not all share one key."""
+    unnamed = F.lit("null") if text is None else F.concat(F.lit("null"), F.md5(text.cast("binary")))
+    named = F.concat(F.coalesce(doc_id.cast("string"), unnamed), F.lit(f":{seed}"))
     return F.conv(F.substring(F.md5(named.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
@@ -61,7 +63,7 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, max_epochs: int =
 
 
 def mix(docs: DataFrame, size: Column, seed: int = 17, weights: tuple = WEIGHTS,
-        max_epochs: int = MAX_EPOCHS, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+        max_epochs: int = MAX_EPOCHS, rows_per_bucket: int = ROWS_PER_BUCKET, text: Column | None = None) -> DataFrame:
     """``docs`` with ``__size``, ``__source_size``, ``__target`` and ``__taken`` added.
 
     ``__taken`` counts the size units the mix takes of the row, repeats
@@ -71,12 +73,16 @@ def mix(docs: DataFrame, size: Column, seed: int = 17, weights: tuple = WEIGHTS,
 
     Null or empty texts have size 0 and give nothing; a null source is a
     source of its own, ranked last; rows with null or repeated ids are ranked
-    by (id, size) and equal rows are interchangeable; an empty table gives no
-    rows; columns of ``docs`` keep their names and values.
+    by (id, size) and equal rows are interchangeable; ``text`` gives rows with a null id
+    keys of their own; an empty table gives no rows; columns of ``docs`` keep their names
+    and values (one of the four names above among them is an error).
     """
-    spark = docs.sparkSession
-    d = docs.withColumns({"__size": size, "__source": F.col("source"), "__doc": F.col("doc_id"),
-                          "__key": random_key(F.col("doc_id"), seed)})
+    x = _taken(docs, size, seed, weights, max_epochs, rows_per_bucket, text)
+    return unsealed(x, docs, __size=F.col("__size"), __source_size=F.col("__s_source_size"), __target=F.col("__s_target"), __taken=F.col("__taken"))
+
+
+def _taken(docs: DataFrame, size: Column, seed: int, weights: tuple, max_epochs: int, rows_per_bucket: int, text: Column | None) -> DataFrame:
+    d = sealed(docs, __size=size, __source=F.col("source"), __doc=F.col("doc_id"), __key=random_key(F.col("doc_id"), seed, text))
     narrow = store(d.select(F.col("__source").alias("source"), "__key", "__size"), "mix-sizes")
     per_source = narrow.groupBy("source").agg(F.sum("__size").alias("source_size"), F.count("*").alias("rows"))
     src = source_targets(per_source, weights, max_epochs)
@@ -103,27 +109,26 @@ def mix(docs: DataFrame, size: Column, seed: int = 17, weights: tuple = WEIGHTS,
               .rowsBetween(Window.unboundedPreceding, -1))
     ahead = F.col("__base") + F.coalesce(F.sum("__size").over(inside), F.lit(0))
     last = F.greatest(F.lit(0), F.least(F.col("__size"), F.col("__s_rest") - ahead))
-    x = x.withColumn("__taken", (F.col("__s_epochs") * F.col("__size") + last).cast("long"))
-    return x.select(*docs.columns, "__size", F.col("__s_source_size").alias("__source_size"),
-                    F.col("__s_target").alias("__target"), "__taken")
+    return x.withColumn("__taken", (F.col("__s_epochs") * F.col("__size") + last).cast("long"))
 
 
 def mix_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     """The mix itself: each row as often as it is taken, columns unchanged.
 
     A row whose last copy is cut by the budget is kept whole, so a source
-    passes its budget by less than one document.
+    passes its budget by less than one document.  Null and empty texts are never
+    taken; repeated rows, null ids and null sources are as in ``mix``; an empty table
+    gives no rows; columns of any name keep their values.
     """
-    m = mix(docs, word_count(text_of()), seed)
+    m = _taken(docs, word_count(text_of()), seed, WEIGHTS, MAX_EPOCHS, ROWS_PER_BUCKET, text_of())
     times = F.when(F.col("__size") > 0, F.ceil(F.col("__taken") / F.col("__size"))).otherwise(0).cast("int")
-    return (m.withColumn("__copies", times).where("__copies > 0")
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .select(*docs.columns))
+    m = m.withColumn("__copies", times).where("__copies > 0")
+    return unsealed(m.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))), docs)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    m = mix(docs, word_count(text_of()))
+    m = mix(docs, word_count(text_of()), text=text_of())
     return m.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
                     F.col("__target").alias("target"), F.col("__taken").alias("taken"))
 
@@ -132,7 +137,7 @@ ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':17'), 1, 15) AS BIGINT) AS k
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null' || md5(coalesce(text, ''))) || ':17'), 1, 15) AS BIGINT) AS k
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

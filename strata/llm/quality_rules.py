@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, store, text_of
+from .common import read_table, sealed, store, text_of, unsealed
 
 WINDOW = 8
 SAMPLE_ROWS = 200_000
@@ -237,11 +237,18 @@ def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``docs`` that the learned list keeps, columns unchanged."""
+    """The rows of ``docs`` that the learned list keeps, columns unchanged.
+
+    Null and empty texts fail the fixed rules and go; repeated rows share their verdict;
+    an empty table gives no rows; without labels only the fixed rules hold; columns of
+    any name keep their values.
+    """
     known = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("__id")).distinct()
-    labelled = docs.join(known, F.col("doc_id") == F.col("__id"), "left_semi").select("doc_id", text_of().alias("text"))
+    labelled = (docs.select("doc_id", text_of().alias("text"))
+                .join(known, F.col("doc_id") == F.col("__id"), "left_semi"))
     rules = learn(with_counts(labelled).select("doc_id", "__q.*"), labels, sample_rows)
-    return with_counts(docs).where(verdict(rules, "__q.")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    counted = with_counts(sealed(docs, text=text_of())).where(verdict(rules, "__q."))
+    return unsealed(counted, docs)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

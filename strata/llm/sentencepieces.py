@@ -256,7 +256,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
     """The last stage of a pipeline: ``(doc_id, n_tokens, ids, lossless)`` per
-    row, ids as an array of integers; lossless says that they decode to the text."""
+    row, ids as an array of integers; lossless says that they decode to the text.
+
+    Null and empty texts have no ids; null and repeated ids each give their row; an
+    empty table gives none; other columns are not read.
+    """
     model = model or public_tokenizers.path("piece_bpe_32k.model")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, store, text_of
+from .common import read_table, sealed, store, text_of, unsealed
 from .graph import components
 
 SHINGLE = 3
@@ -164,17 +164,17 @@ def keep_first(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS,
     """``docs`` with one row of each near-duplicate class, columns unchanged.
 
     The row with the least doc_id stays, null ids last; of rows with that same
-    id the one with the least hash of its text, and of equal rows one.
+    id the one with the least hash of its text, and of equal rows one.  Null and
+    empty texts are one class; an empty table gives no rows; columns of any name keep their values.
     """
     id_ = F.col("doc_id").cast("long")
-    marked = docs.withColumns({"__void": id_.isNull(), "__id": F.coalesce(id_, F.lit(0)),
-                               "__hash": F.xxhash64(text_of())})
+    marked = sealed(docs, __void=id_.isNull(), __id=F.coalesce(id_, F.lit(0)), __hash=F.xxhash64(text_of()), text=text_of())
     row = ["__void", "__id", "__hash"]
     fps = store(fingerprints(marked.select(F.struct(*row).alias("who"), text_of().alias("text")), k), "simhash-fp")
     first = _classes(fps, radius, tile_rows).groupBy("root").agg(F.min("first").alias("f")).select("f.*")
     kept = marked.join(first, row, "left_semi")
     one = Window.partitionBy(*row).orderBy(*row)
-    return kept.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*docs.columns)
+    return unsealed(kept.withColumn("__n", F.row_number().over(one)).where("__n = 1"), docs)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
