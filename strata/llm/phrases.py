@@ -1,9 +1,9 @@
 """Operator 13: phrase collocations from counting quotient filters.
 
 Texts are cut once into chunks of about a million words, held as numbers of the
-chunk's own words; the chunks' words, dealt by hash, get their counts and
-numbers in all, and the chunks are rewritten in these.  Phrases are then counted
-length by length:
+chunk's own words; the chunks' words, dealt by hash, get their counts in all, the frequent
+ones get numbers, and the chunks are rewritten in these.  Phrases are then
+counted length by length:
 
 * A phrase is packed as the numbers of its words.  An invertible permutation
   scrambles the packed key; its leading bits are the quotient, all others the
@@ -14,8 +14,8 @@ length by length:
   in rounds of bounded fan-in where there are many; counts below the least
   count go after the last merge.  Permuted keys spread evenly, so no bucket is hot,
   and a phrase of every document is one entry per chunk.
-* A phrase can only be frequent if the two shorter ones inside it (at first, its
-  words) are.  These are known from the length before by a bit map of fixed size: a wrong hit
+* A phrase can only be frequent if the two shorter ones inside it are.  These
+  are known from the length before by a bit map of fixed size: a wrong hit
   only counts a phrase that the least count then drops.
 
 Scores, and which phrases are part of longer ones, follow by joins.
@@ -43,6 +43,7 @@ TOP = 2000
 CHUNK_WORDS = 1 << 20
 SLICE_BYTES = 1 << 20
 SLICE = 1 << 18
+PACKED_WAYS = 1 << 20
 BUCKET_ROWS = 1 << 21  # occurrences per bucket: more than the entries that a merge holds
 FAN_BITS = 6  # buckets that a filter is cut into at once, and filters that are merged at once
 MAP_BITS = 26
@@ -145,46 +146,62 @@ def chunks_of(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     return store(d.mapInArrow(cut, "chunk long, lang string, word string, local int, n long, ids binary"), "phrase-chunks")
 
 
-def vocabulary_of(chunks: DataFrame) -> tuple[DataFrame, dict[int, int], int]:
-    """The words of each language, per chunk that has them.
-
-    Rows ``(chunk, local, part, seq, lang, word, f)``: word number ``seq`` of
-    partition ``part`` of the words.  ``f``, its count in all, is set in one row per word.  Also the number before each partition's first word
-    (one small row per partition reaches the driver), and how many words there are.
+def vocabulary_of(chunks: DataFrame, least: int) -> tuple[DataFrame, dict[int, int], int]:
+    """Words that occur ``least`` times or more in a language, and where chunks have them.
 
     Words are dealt by hash and sorted, so all rows of a word lie side by side: one
-    shuffle gives counts, numbers and their way back to the chunks.
+    shuffle gives counts, numbers and their way back to the chunks.  Two kinds of rows:
+    ``(part, seq, lang, word, f)`` for word number ``seq`` of partition ``part``, and
+    ``(part, chunk, data)``, the chunk's own and the new numbers of the words of that
+    partition, packed.  Also the number before each partition's first word
+    (one small row per partition reaches the driver), and how many words there are.
     """
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, seq, held = TaskContext.get().partitionId(), 0, None
-        names = ["chunk", "local", "part", "seq", "lang", "word", "f"]
+        ways: list[np.ndarray] = []  # (chunk, local, seq) of frequent words
         for pdf in itertools.chain(batches, [None]):  # None ends the last word
             if pdf is not None and held is not None:
                 pdf = pd.concat([held, pdf], ignore_index=True)
-            pdf = held if pdf is None else pdf
+            last = pdf is None
+            pdf = held if last else pdf
             if pdf is None or not len(pdf):
                 continue
             lang, word, n = (pdf[c].to_numpy() for c in ("lang", "word", "n"))
             starts = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (lang[1:] != lang[:-1])])
-            whole = pdf is held or len(starts)  # the last word may go on in the next batch
-            upto = len(pdf) if pdf is held else starts[-1]
-            held = None if pdf is held else pdf.iloc[upto:]
-            if not upto or not whole:
-                continue
+            upto = len(pdf) if last else starts[-1]  # the last word may go on in the next batch
+            held = None if last else pdf.iloc[upto:]
             starts = starts[starts < upto]
+            if not upto:
+                continue
             total = np.add.reduceat(n[:upto], starts)
-            sizes = np.diff(np.r_[starts, upto])
-            of = np.repeat(np.arange(len(starts)) + seq, sizes)
-            seq += len(starts)
-            first = np.zeros(upto, bool)
-            first[starts] = True
-            some = pdf.iloc[:upto]
-            f = pd.Series(np.repeat(total, sizes), dtype="Int64", index=some.index).where(first)
-            yield some.assign(part=part, seq=of, f=f)[names]
+            often = total >= least
+            number = np.where(often, np.cumsum(often) - 1 + seq, -1)
+            seq += int(often.sum())
+            of = np.repeat(number, np.diff(np.r_[starts, upto]))
+            some = pdf.iloc[:upto][of >= 0]
+            if len(some):
+                ways.append(np.stack([some["chunk"].to_numpy(np.int64), some["local"].to_numpy(np.int64), of[of >= 0]]))
+                first = starts[often]
+                yield pd.DataFrame({"part": part, "seq": number[often], "lang": lang[first], "word": word[first], "f": total[often],
+                                    "chunk": pd.array([None] * len(first), "Int64"), "data": None})
+            if sum(w.shape[1] for w in ways) >= PACKED_WAYS:
+                yield packed(ways, part)
+                ways = []
+        if ways:
+            yield packed(ways, part)
+
+    def packed(ways: list[np.ndarray], part: int) -> pd.DataFrame:
+        chunk, local, seq = np.concatenate(ways, axis=1)
+        order = np.argsort(chunk, kind="stable")
+        chunk, local, seq = chunk[order], local[order], seq[order]
+        starts = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
+        data = [_zipped(np.concatenate([local[s:e], seq[s:e]])) for s, e in zip(starts, np.r_[starts[1:], len(chunk)])]
+        none = pd.array([None] * len(starts), "Int64")
+        return pd.DataFrame({"part": part, "seq": none, "lang": None, "word": None, "f": none, "chunk": chunk[starts], "data": data})
 
     rows = chunks.where("word IS NOT NULL").select("chunk", "local", "lang", "word", "n")
     rows = rows.repartition("lang", "word").sortWithinPartitions("lang", "word")
-    rows = store(rows.mapInPandas(pick, "chunk long, local int, part int, seq long, lang string, word string, f long"), "phrase-words")
+    rows = store(rows.mapInPandas(pick, "part int, seq long, lang string, word string, f long, chunk long, data binary"), "phrase-words")
     sizes = rows.where("f IS NOT NULL").groupBy("part").count().orderBy("part").collect()
     before, size = {}, 0
     for r in sizes:
@@ -193,22 +210,22 @@ def vocabulary_of(chunks: DataFrame) -> tuple[DataFrame, dict[int, int], int]:
 
 
 def numbered(chunks: DataFrame, words: DataFrame, before: dict[int, int], wide: bool) -> DataFrame:
-    """``(chunk, ids)``: the chunks in numbers of all words; -1 ends a piece."""
+    """``(chunk, ids)``: the chunks in numbers of the vocabulary; -1 ends a run of its words."""
     kind = np.int64 if wide else np.int32
 
-    def rewrite(key: tuple, body: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        first = words["part"].map(before).to_numpy() if len(words) else 0
+    def rewrite(key: tuple, body: pd.DataFrame, ways: pd.DataFrame) -> pd.DataFrame:
         out = []
         for raw in body["ids"]:
             x = _unzipped(raw, np.int32)
             to = np.full(int(x.max(initial=0)) + 1, -1, kind)
-            to[words["local"].to_numpy()] = words["seq"].to_numpy() + first
-            to[SEPARATOR] = -1
+            for part, data in zip(ways["part"], ways["data"]):
+                local, seq = _unzipped(data, np.int64).reshape(2, -1)
+                to[local] = seq + before[part]
             out.append((key[0], _zipped(_without_runs(to[x], -1))))
         return pd.DataFrame(out, columns=["chunk", "ids"])
 
     bodies = chunks.where("ids IS NOT NULL").select("chunk", "ids")
-    found = words.select(F.col("chunk").alias("within"), "local", "part", "seq")
+    found = words.where("data IS NOT NULL").select(F.col("chunk").alias("within"), "part", "data")
     return store(bodies.groupBy("chunk").cogroup(found.groupBy("within")).applyInPandas(rewrite, "chunk long, ids binary"), "phrase-ids")
 
 
@@ -375,8 +392,8 @@ def _keys(x: np.ndarray, at: np.ndarray, length: int, bits: int) -> list[np.ndar
 def _starts(x: np.ndarray, length: int, bits: int, maps: dict, map_bits: int) -> np.ndarray:
     """Where phrases of ``length`` words begin whose shorter phrases may all be frequent."""
     ok = x >= 0
-    for m in range(1, length + 1):
-        ok = ok[:-1] & ok[1:] if m > 1 and len(ok) else ok
+    for m in range(2, length + 1):
+        ok = ok[:-1] & ok[1:] if len(ok) else ok
         if m < length:
             at = np.flatnonzero(ok)
             pos = _position(_keys(x, at, m, bits), map_bits).astype(np.int64)
@@ -433,16 +450,6 @@ def frequent(ids: DataFrame, length: int, bits: int, wide: bool, maps, occurrenc
     return store(filters.groupBy("bucket").applyInPandas(last, "ids array<long>, f long, pos long"), f"phrases-{length}")
 
 
-def _placed(words: DataFrame, bits: int, map_bits: int) -> DataFrame:
-    """``(pos)``: the places of single words in the bit map."""
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = pdf["id"].to_numpy(np.int64)
-            yield pd.DataFrame({"pos": _position(_keys(x, np.arange(len(x)), 1, bits), map_bits).astype(np.int64)})
-
-    return words.select("id").mapInPandas(place, "pos long")
-
-
 def bit_map(phrases: DataFrame, map_bits: int = MAP_BITS) -> np.ndarray:
     """Bit map of 2 ** ``map_bits`` bits (8 MB) with the places of ``phrases`` set."""
     segment = max(map_bits - 6, 3)
@@ -473,16 +480,16 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     spark = docs.sparkSession
     chunks = chunks_of(docs, chunk_words)
     totals = chunks.where("word IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    words, before, size = vocabulary_of(chunks)
+    words, before, size = vocabulary_of(chunks, least)
     bits = max(1, max(size - 1, 0).bit_length())
     wide = size >= 1 << 31
     ids = numbered(chunks, words, before, wide)
     first = F.element_at(F.create_map(*[F.lit(v) for kv in before.items() for v in kv]), F.col("part")) if before else F.lit(0)
-    vocabulary = store(words.where(F.col("f") >= least).select((F.col("seq") + first).cast("long").alias("id"), "lang", "word", "f"), "phrase-vocabulary")
+    vocabulary = store(words.where("f IS NOT NULL").select((F.col("seq") + first).cast("long").alias("id"), "lang", "word", "f"), "phrase-vocabulary")
     occurrences = vocabulary.agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
     number = ids.count()
     counted = [vocabulary.select(F.array("id").alias("ids"), "f")]
-    maps = {1: bit_map(_placed(vocabulary, bits, map_bits), map_bits)}
+    maps: dict[int, np.ndarray] = {}
     for length in range(2, longest + 1):
         if not occurrences:
             break
