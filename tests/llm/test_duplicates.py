@@ -73,23 +73,36 @@ def edit(a, b):
     return prev[-1]
 
 
-def brute_lines(rows):
-    import regex
-    norm = lambda l: regex.sub(r"[^\p{L}0-9]+", " ", l.lower()).strip(" ")
+def within(a, b, most):
+    """Whether at most ``most`` edits lead from one text to the other (a band of the table)."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    big = most + 1
+    prev = {j: j for j in range(min(len(b), most) + 1)}
+    for i, x in enumerate(a, 1):
+        cur = {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            cur[j] = min(prev.get(j, big) + 1, cur.get(j - 1, big) + 1, prev.get(j - 1, big) + (x != b[j - 1]) if j else i)
+        if min(cur.values()) > most:
+            return False
+        prev = cur
+    return prev[len(b)] <= most
 
-    def fp(words):
-        h = [xxhash.xxh64_intdigest(w, 42) for w in dict.fromkeys(words)]
-        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
+def brute_lines(rows):
+    """Texts without repeated lines, by edit similarity alone: every pair of lines is compared."""
+    import regex
+    fold = str.maketrans("123456789", "000000000")
+    norm = lambda l: " ".join(regex.findall(r"[\p{L}\p{N}\p{M}]+", l.lower().translate(fold)))
     order = sorted({(r[0] is None, r[0] or 0, xxhash.xxh64_intdigest(r[1] or "", 42) - (1 << 64) * (xxhash.xxh64_intdigest(r[1] or "", 42) >> 63), r[1] or "") for r in rows})
     occ = [((v, i, h), k, norm(l)) for v, i, h, t in order for k, l in enumerate(t.split("\n"))]
-    occ = [o for o in occ if len(o[2].split(" ")) >= 5]
+    occ = [o for o in occ if o[2]]
     texts = list(dict.fromkeys(o[2] for o in occ))
-    fps = [fp(t.split(" ")) for t in texts]
+    long = [len(t.split(" ")) >= 5 or len(t) >= 20 for t in texts]
 
     def linked(i, j):
         a, b = texts[i], texts[j]
-        return (fps[i] ^ fps[j]).bit_count() <= 3 and edit(a, b) <= math.floor(0.2 * max(len(a), len(b)) + 1e-9)
+        return long[i] and long[j] and within(a, b, math.floor(0.2 * max(len(a), len(b)) + 1e-9))
     label = dict(zip(texts, cases.classes(len(texts), linked)))
     seen, gone = set(), {}
     for key, k, t in occ:
