@@ -36,15 +36,25 @@ def unsealed(df: DataFrame, like: DataFrame, changed: dict[str, Column] | None =
     return df.select(*old, *[c.alias(name) for name, c in more.items()])
 
 
+#: Spark's setting that shuffle files go as soon as the query that wrote them ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return it reread.
 
     This is the lineage cut of the operators: the files outlive any executor,
-    and what follows does not compute ``df`` again.
+    and what follows does not compute ``df`` again.  So its shuffle files are of no
+    use any more and go with the write, not when the driver collects its garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
