@@ -42,11 +42,11 @@ LONGEST = 5
 TOP = 2000
 CHUNK_WORDS = 1 << 20
 SLICE_BYTES = 1 << 20
-SLICE = 1 << 18
-PACKED_WAYS = 1 << 20
-BUCKET_ROWS = 1 << 21  # occurrences per bucket: more than the entries that a merge holds
+SLICE = 1 << 16
+PACKED_WAYS = 1 << 18
+BUCKET_ROWS = 1 << 20  # occurrences per bucket: more than the entries that a merge holds
 FAN_BITS = 6  # buckets that a filter is cut into at once, and filters that are merged at once
-MAP_BITS = 26
+MAP_BITS = 25
 ROUNDS = 3
 U = np.uint64
 
@@ -416,7 +416,7 @@ def frequent(ids: DataFrame, length: int, bits: int, wide: bool, maps, occurrenc
         held = maps.value
         for pdf in batches:
             for chunk, raw in zip(pdf["chunk"], pdf["ids"]):
-                x = _unzipped(raw, kind).astype(np.int64)
+                x = _unzipped(raw, kind)
                 at = _starts(x, length, bits, held, map_bits)
                 limbs, counts = summed(_keys(x, at, length, bits), np.ones(len(at), np.int64))
                 rows = list(shape.split(limbs, counts, 0, known))
@@ -451,7 +451,7 @@ def frequent(ids: DataFrame, length: int, bits: int, wide: bool, maps, occurrenc
 
 
 def bit_map(phrases: DataFrame, map_bits: int = MAP_BITS) -> np.ndarray:
-    """Bit map of 2 ** ``map_bits`` bits (8 MB) with the places of ``phrases`` set."""
+    """Bit map of 2 ** ``map_bits`` bits (4 MB) with the places of ``phrases`` set."""
     segment = max(map_bits - 6, 3)
 
     def fill(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
