@@ -1,7 +1,7 @@
 """Relational operators: dedup, lookups, incremental loads, aggregates, checks."""
 
 from .aggregate import dim_from_groups, key_pool, null_counts, ratio_pct
-from .dedup import latest_per_key, total_tiebreak
+from .dedup import latest_per_key, latest_split, total_tiebreak
 from .incremental import (VersionedTable, incremental_slice, sync_columns, upsert,
                           upsert_partitions, upsert_table, watermark)
 from .lookup import frequent_keys, lookup, lookup_split, orphans

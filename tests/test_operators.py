@@ -298,3 +298,39 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(30 * 1024 ** 4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 163840
     assert int(scale_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_latest_split_is_latest_per_key_and_leaves_single_rows(spark):
+    from strata.operators.dedup import latest_split
+    df = spark.range(400, numPartitions=5).select(
+        F.when(F.col("id") % 50 != 7, F.concat(F.lit("K-"), F.when(F.col("id") < 40, F.col("id") % 13).otherwise(F.col("id")).cast("string"))).alias("k"),
+        (F.col("id") % 3).alias("p"), F.when(F.col("id") % 4 != 1, F.col("id") % 5).alias("ts"), (F.col("id") % 7).alias("v"))
+    df = df.unionAll(df.where("v = 2"))
+    want = rows(latest_per_key(df, ["k", "p"], ["ts"]), *df.columns)
+    for buckets in (1, 8, 1 << 20):  # all rows ranked, some, only repeated keys
+        assert rows(latest_split(df, ["k", "p"], ["ts"], buckets=buckets), *df.columns) == want
+    assert latest_split(df.where("false"), ["k"], ["ts"]).count() == 0
+
+
+def test_transactions_of_one_key_are_not_ranked(spark):
+    """Only lines that share their key reach the ranking's shuffle."""
+    from strata.plans.silver import build_silver_transactions
+    from strata.plans import driver_tables as D
+    plan = build_silver_transactions(D.landing(spark, "/root/testdata/sf0.001", "raw_transactions"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and plan.index("Union") < plan.index("Window")
+    ranked = build_silver_transactions(D.landing(spark, "/root/testdata/sf0.001", "raw_transactions"), repeats=True)
+    assert "LeftAnti" not in ranked._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_first_load_is_written_once(spark, tmp_root, monkeypatch):
+    from strata.operators import incremental
+    from strata.session import child_names
+    monkeypatch.setattr(incremental, "settled_batch", None)  # a first load needs no copy of its batch
+    path = f"{tmp_root}/once"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    with pytest.raises(ValueError, match="repeats keys"):
+        upsert_table(spark, path, df.unionAll(df), ["k"])
+    assert VersionedTable(spark, path).read() is None and not child_names(spark, f"{path}/data")
+    assert rows(upsert_table(spark, path, df, ["k"]), "k", "v") == rows(df, "k", "v")
+    folder = child_names(spark, f"{path}/data")[0]
+    assert any(".zstd." in n for n in child_names(spark, f"{path}/data/{folder}"))
