@@ -100,3 +100,13 @@ def test_observed_counts_equal_counted_ones(spark):
     a = sorted(map(tuple, observed_reconciliation(w).collect()))
     assert a == sorted(map(tuple, reconciliation(w).collect())) and len(a) == 5
     assert all(w.counts[m]["rows"] == df.count() for m, df in w.tables.items() if m in w.counts)
+
+
+def test_checks_of_keys_write_no_tables(spark, monkeypatch):
+    """Reports that need a few keys of each table do not store whole tables for it."""
+    from strata.plans import extra_queries as X
+    from strata.plans.warehouse import Warehouse
+    monkeypatch.setattr(Warehouse, "materialize", None)
+    for run in (X.dq_inactive_staff, X.dq_late_arriving, X.dq_ri_report):
+        run(spark, "/root/testdata/sf0.001").collect()
+    assert X.dq_ri_report(spark, "/root/testdata/sf0.001").count() == 6
