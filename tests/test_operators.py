@@ -334,3 +334,29 @@ def test_first_load_is_written_once(spark, tmp_root, monkeypatch):
     assert rows(upsert_table(spark, path, df, ["k"]), "k", "v") == rows(df, "k", "v")
     folder = child_names(spark, f"{path}/data")[0]
     assert any(".zstd." in n for n in child_names(spark, f"{path}/data/{folder}"))
+
+
+@pytest.mark.parametrize("share", [0.005, 0.3, 1.0])
+def test_latest_spread_is_latest_per_key_and_sorts_once(spark, share):
+    from strata.operators.dedup import latest_spread
+    df = spark.range(900, numPartitions=5).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 != 7, F.concat(F.lit("K-"), (F.col("id") % 211).cast("string"))).alias("k"),
+        (F.col("id") % 2).alias("p"), F.when(F.col("id") % 4 != 1, F.col("id") % 5).alias("ts"), (F.col("id") % 7).alias("v"))
+    df = df.unionAll(df.where("v = 2"))
+    out = latest_spread(df, ["k", "p"], ["ts"], share=share)
+    assert out.columns == df.columns
+    assert rows(out, *df.columns) == rows(latest_per_key(df, ["k", "p"], ["ts"]), *df.columns)
+    assert latest_spread(df.where("false"), ["k", "p"], ["ts"]).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    if share == 1.0:  # no hot key: one shuffle, and nothing is sorted before it
+        assert plan.count("Exchange") == 1 and "Sort" in plan and "Sort" not in plan[plan.index("Exchange"):]
+    else:  # a hot key is limited in each task before its rows are shuffled
+        assert plan.count("Exchange") == (2 if share < 0.1 else 1)
+
+
+def test_ride_records_are_sorted_after_their_shuffle_only(spark):
+    from strata.plans import driver_tables as D
+    from strata.plans.silver import build_silver_ride_operations
+    plan = build_silver_ride_operations(D.landing(spark, "/root/testdata/sf0.001", "raw_ride_operations"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.index("REPARTITION_BY_COL")
+    assert "WindowGroupLimit" not in plan[plan.index("REPARTITION_BY_COL"):]
