@@ -360,3 +360,9 @@ def test_ride_records_are_sorted_after_their_shuffle_only(spark):
     plan = build_silver_ride_operations(D.landing(spark, "/root/testdata/sf0.001", "raw_ride_operations"))._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.index("REPARTITION_BY_COL")
     assert "WindowGroupLimit" not in plan[plan.index("REPARTITION_BY_COL"):]
+
+
+def test_doubled_landing_joins_its_source_once(spark):
+    from strata.plans import extra_queries as X
+    plan = X.doubled_silver("silver_transactions")(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation [" in line and "l_linenumber" in line for line in plan.split("\n")) == 1
