@@ -366,3 +366,30 @@ def test_doubled_landing_joins_its_source_once(spark):
     from strata.plans import extra_queries as X
     plan = X.doubled_silver("silver_transactions")(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert sum("Relation [" in line and "l_linenumber" in line for line in plan.split("\n")) == 1
+    plan = X.two_tenants("raw_transactions")(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation [" in line and "l_linenumber" in line for line in plan.split("\n")) == 2
+
+
+def test_landed_lines_meet_orders_that_have_their_region(spark, tmp_root):
+    """The lines are in the outermost join only; rows are those of the SQL, with null and repeated keys."""
+    import duckdb
+
+    from strata.plans import driver_tables as D
+    src = "/root/testdata/sf0.001"
+    for t in ("nation", "region"):
+        spark.read.parquet(f"{src}/{t}.parquet").write.parquet(f"{tmp_root}/{t}.parquet")
+    c = spark.read.parquet(f"{src}/customer.parquet")
+    c.withColumn("c_nationkey", F.when(F.col("c_custkey") % 5 != 0, F.col("c_nationkey"))).unionAll(c.where("c_custkey < 9")).write.parquet(f"{tmp_root}/customer.parquet")
+    o = spark.read.parquet(f"{src}/orders.parquet")
+    o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey"))).unionAll(o.where("o_orderkey < 40")).write.parquet(f"{tmp_root}/orders.parquet")
+    li = spark.read.parquet(f"{src}/lineitem.parquet").where("l_orderkey < 400")
+    li.withColumn("l_orderkey", F.when(F.col("l_linenumber") != 6, F.col("l_orderkey"))).write.parquet(f"{tmp_root}/lineitem.parquet")
+    landed = D.landing(spark, tmp_root, "raw_transactions").select("source_transaction_id", "park_code", "customer_id")
+    con = duckdb.connect()
+    for t in ("lineitem", "orders", "customer", "nation", "region"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_root}/{t}.parquet/*.parquet')")
+    want = con.execute(f"SELECT source_transaction_id, park_code, customer_id FROM ({D.landing_sql('raw_transactions')})").fetchall()
+    text = lambda found: sorted(map(str, map(tuple, found)))
+    assert text(landed.collect()) == text(want) and len(want) > 100
+    plan = D.landing(spark, tmp_root, "raw_transactions")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Join LeftOuter")
