@@ -393,3 +393,13 @@ def test_landed_lines_meet_orders_that_have_their_region(spark, tmp_root):
     assert text(landed.collect()) == text(want) and len(want) > 100
     plan = D.landing(spark, tmp_root, "raw_transactions")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join Inner") < plan.index("Join LeftOuter")
+
+
+def test_write_landing_does_not_look_at_its_input_first(spark, tmp_root, monkeypatch):
+    from strata.session import child_names
+    from strata.sources import write_landing
+    df = spark.createDataFrame([("b",), ("a",)], "a string")
+    monkeypatch.setattr(df, "isEmpty", None)
+    assert write_landing(df, tmp_root, "sf_x", order_by=["a"]) is True
+    assert write_landing(df.where("false"), tmp_root, "sf_y", order_by=["a"]) is False
+    assert child_names(spark, f"{tmp_root}/landing_zone") == ["sf_x"]
