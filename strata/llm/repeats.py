@@ -156,10 +156,10 @@ def suffix_order(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
         key = key * 512 + np.where(open_, symbol, 0)
         open_ &= symbol > 0
     # suffixes that reach their end are told apart by the string's number
-    reach = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
+    reach = np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(n)
     first, ends_in = key, reach < FIRST
-    order = np.lexsort((np.where(reach < FIRST, np.searchsorted(ends, np.arange(n)), 0), key))
-    short = reach[order] < FIRST
+    order = np.argsort(key, kind="stable")  # strings stand by their number
+    short = ends_in[order]
     new = np.r_[False, (key[order][1:] != key[order][:-1]) | short[1:]]
     rank = np.empty(n, np.int64)
     rank[order] = new.cumsum()
@@ -168,8 +168,9 @@ def suffix_order(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
         after = np.zeros(n, np.int64)
         after[:n - step] = rank[step:] + 1
         key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        rank[order] = np.r_[False, key[order][1:] != key[order][:-1]].cumsum()
+        order = np.argsort(key)  # equal ones get one rank in any order
+        sorted_ = key[order]
+        rank[order] = np.r_[False, sorted_[1:] != sorted_[:-1]].cumsum()
         step *= 2
     order = np.empty(n, np.int64)
     order[rank] = np.arange(n)
@@ -204,7 +205,8 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.n
     A round puts the symbol before each row in front of it: one stable sort by
     that symbol is the next interleave, and two rows stay in one interval if
     their symbols and their intervals were equal.  A row alone in its interval
-    stays alone whatever is put in front, so it leaves the rounds.
+    stays alone whatever is put in front, so it leaves the rounds.  One with too
+    few symbols before it to come to ``depth`` takes no part in them.
     """
     sizes = np.array([len(s.bwt) for s in shards])
     base = np.cumsum(sizes) - sizes
@@ -213,10 +215,11 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.n
     rows = np.arange(len(bwt))  # at first the shards stand one behind the other
     new, known = np.arange(len(bwt)) == 0, 0
     if depth >= FIRST:  # the first symbols of the shards' sorted rows merge at once
-        first, ends_in = (np.concatenate(x) for x in zip(*[(s.first, s.ends_in) for s in shards]))
-        rows = np.argsort(first, kind="stable")
-        key = first[rows]
-        new = np.r_[True, (key[1:] != key[:-1]) | ends_in[rows][1:]]
+        rows = np.flatnonzero(np.concatenate([~s.ends_in & (s.offset >= depth - FIRST) for s in shards]))
+        key = np.concatenate([s.first for s in shards])[rows]
+        order = np.argsort(key, kind="stable")
+        rows, key = rows[order], key[order]
+        new = np.r_[True, key[1:] != key[:-1]][:len(rows)]
         known = FIRST
     for step in range(known, depth + 1):
         alone = new & np.r_[new[1:], True]
@@ -378,43 +381,57 @@ def _key(s: bytes) -> bytes:
     return xxhash.xxh3_128_digest(s)
 
 
+def _cuts(owner: np.ndarray, per: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """``(owner, from, to, value)`` of the stretches of one value of the arrays ``per`` (none of them empty)."""
+    flat, sizes = np.concatenate(per), np.array([len(x) for x in per])
+    begin = np.cumsum(sizes) - sizes
+    new = np.r_[True, flat[1:] != flat[:-1]]
+    new[begin] = True
+    at = np.flatnonzero(new)
+    which = np.searchsorted(begin, at, "right") - 1
+    return owner[which], at - begin[which], np.r_[at[1:], len(flat)] - begin[which], flat[at]
+
+
 def _verdicts(strings: DataFrame, length: int) -> DataFrame:
     """Per document group: strings that lose something there, as (key, from,
     to, least document) of the offsets with one least document."""
     def judge(pdf: pd.DataFrame) -> pd.DataFrame:
-        least: dict[tuple[int, bytes], int] = {}
-        users: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+        number: dict[tuple[int, bytes], int] = {}
+        users = []
         for g, blob, text in zip(pdf["group"], pdf["data"], pdf["text"]):
             h, size, low, high = _unpack(blob, "<u4", "<u4", "<i8", "<i8")
-            text, at = zstandard.ZstdDecompressor().decompress(text), 0
-            for x, n, a, b in zip(h.tolist(), size.tolist(), low.tolist(), high.tolist()):
-                k = (x, text[at:at + n])
-                at += n
-                least[k] = min(least.get(k, NO_ID), a)
-                users.setdefault(k, []).append((g, b))
-        same: dict[int, list[bytes]] = {}
-        for h, s in least:
-            same.setdefault(h, []).append(s)
+            text, ends = zstandard.ZstdDecompressor().decompress(text), np.cumsum(size).tolist()
+            which = [number.setdefault((x, text[a:b]), len(number)) for x, a, b in zip(h.tolist(), [0, *ends], ends)]
+            users.append((np.array(which, np.int64), np.full(len(which), g, np.int32), low, high))
+        which, group, low, high = (np.concatenate(x) for x in zip(*users))
+        strings = list(number)
+        least = np.full(len(strings), NO_ID)
+        np.minimum.at(least, which, low)
+        same: dict[int, list[int]] = {}
+        for i, (h, _) in enumerate(strings):
+            same.setdefault(h, []).append(i)
+        # the only string of its minimizer has one least document throughout
+        only = np.array([ii[0] for ii in same.values() if len(ii) == 1], np.int64)
+        cuts = [(only, np.zeros(len(only), np.int64), np.array([len(strings[i][1]) - length + 1 for i in only.tolist()], np.int64), least[only])]
         # strings of different minimizers share nothing: they need not meet
-        lows = {}
-        for some in batches_of([[(h, s) for s in ss] for h, ss in same.items() if len(ss) > 1], MERGE_BYTES):
-            lows.update(zip(some, least_documents([s for _, s in some], np.array([least[k] for k in some]), length)))
-        out: dict[int, list] = {}
-        for k, low in least.items():
-            per = lows.get(k)
-            if per is None:  # the only string of its minimizer
-                cuts = [(0, len(k[1]) - length + 1, low)]
-            else:
-                c = np.flatnonzero(np.r_[True, per[1:] != per[:-1]])
-                cuts = list(zip(c.tolist(), [*c[1:].tolist(), len(per)], per[c].tolist()))
-            floor = min(x[2] for x in cuts)
-            for g, high in users[k]:
-                if floor < high:
-                    out.setdefault(g, []).append((_key(k[1]), [x for x in cuts if x[2] < high]))
-        rows = []
-        for g, items in out.items():
-            flat = [(key, *c) for key, cuts in items for c in cuts]
-            rows.append((g, _pack(np.array([f[0] for f in flat], "V16"), *[np.array([f[i] for f in flat], t) for i, t in ((1, "<u4"), (2, "<u4"), (3, "<i8"))])))
+        for some in batches_of([[(i, strings[i][1]) for i in ii] for ii in same.values() if len(ii) > 1], MERGE_BYTES):
+            at = np.array([i for i, _ in some], np.int64)
+            cuts.append(_cuts(at, least_documents([s for _, s in some], least[at], length)))
+        owner, start, end, lows = (np.concatenate(x) for x in zip(*cuts))
+        order = np.argsort(owner, kind="stable")
+        start, end, lows = start[order], end[order], lows[order]
+        n = np.bincount(owner, minlength=len(strings))  # a string's cuts stand together
+        first = np.cumsum(n) - n
+        floor = np.minimum.reduceat(lows, first) if len(lows) else lows
+        hit = np.flatnonzero(floor[which] < high)
+        each = n[which[hit]]
+        by = np.repeat(hit, each)
+        cut = np.repeat(first[which[hit]] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        some = lows[cut] < high[by]
+        by, cut = by[some], cut[some]
+        key: dict[int, bytes] = {i: _key(strings[i][1]) for i in np.unique(which[by]).tolist()}
+        keys = np.array([key[i] for i in which[by].tolist()], "V16")
+        rows = [(g, _pack(*x)) for g, x in _split(group[by], keys, start[cut].astype(np.uint32), end[cut].astype(np.uint32), lows[cut])]
         return pd.DataFrame(rows, columns=["group", "data"])
     return strings.groupBy("bucket").applyInPandas(judge, "group int, data binary")
 

@@ -197,3 +197,28 @@ def test_merged_transforms_against_brute_force():
                 best[s[i:i + 5]] = min(best.get(s[i:i + 5], 99), l)
         got = repeats.least_documents(strings, low, 5, shard_bytes=int(rng.choice([10, 50, 1000])))
         assert [g.tolist() for g in got] == [[best[s[i:i + 5]] for i in range(len(s) - 4)] for s in strings]
+
+
+def test_merge_moves_only_rows_that_reach_the_depth(monkeypatch):
+    # the other rows of a string leave the rounds at its beginning, so they need not enter them
+    rng = np.random.default_rng(3)
+    strings = [bytes(rng.integers(97, 99, 6, dtype=np.uint8)) + b"the middle of all of these strings is one and the same" + bytes(rng.integers(97, 99, 6, dtype=np.uint8))
+               for _ in range(40)]
+    shards, moved, argsort = [repeats.Shard(strings[:25], 0), repeats.Shard(strings[25:], 25)], [], np.argsort
+    monkeypatch.setattr(repeats.np, "argsort", lambda x, **how: (moved.append(len(x)) if x.dtype == np.uint8 else None, argsort(x, **how))[1])
+    string, offset, interval = repeats.merge(shards, 50)
+    assert moved and max(moved) <= sum(len(s) - 49 for s in strings)
+    by = {}
+    for i, s in enumerate(strings):
+        for o in range(len(s) - 49):
+            by.setdefault(s[o:o + 50], []).append((i, o))
+    want = sorted(sorted(x) for x in by.values() if len(x) > 1)
+    got = {}
+    for i, o, k in zip(string.tolist(), offset.tolist(), interval.tolist()):
+        got.setdefault(k, []).append((i, o))
+    assert sorted(sorted(x) for x in got.values()) == want
+
+
+def test_cuts_are_the_stretches_of_one_value():
+    got = repeats._cuts(np.array([7, 3, 5]), [np.array([1, 1, 2]), np.array([2]), np.array([2, 2, 1, 1])])
+    assert [x.tolist() for x in got] == [[7, 7, 3, 5, 5], [0, 2, 0, 0, 2], [2, 3, 1, 2, 4], [1, 2, 2, 2, 1]]
