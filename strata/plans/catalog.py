@@ -27,7 +27,7 @@ def _silver(name: str) -> Query:
 
 
 def _gold(name: str) -> Query:
-    return lambda spark, sf_dir: decimals_to_double(Warehouse(spark, sf_dir).gold(name))
+    return lambda spark, sf_dir: decimals_to_double(Warehouse(spark, sf_dir).staged().gold(name))
 
 
 def queries() -> dict[str, Query]:
